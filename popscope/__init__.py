@@ -1,7 +1,7 @@
 """Sampling, profiling and exact vector search over large population tables."""
 
 from popscope.functions.encoders import Encoder, NgramEncoder
-from popscope.operators.encode import encode_passages, encode_queries, encode_query
+from popscope.operators.encode import encode_passages, encode_queries, encode_query, pack, unpack
 from popscope.operators.filtering import count_matching, matching
 from popscope.operators.lookup import duplicate_ids, get_by_id, get_by_ids
 from popscope.operators.profile import describe_filters
@@ -16,6 +16,8 @@ from popscope.operators.search import (
 from popscope.operators.stats import stats
 from popscope.plans.first_rows import first_rows
 from popscope.plans.index_build import BuildReport, build_index
+from popscope.plans.late_rows import panel_late, sample_late, search_late
+from popscope.shipping import ship_package
 from popscope.sources.population import (
     DatasetMissingError,
     dataset_inventory,

@@ -32,10 +32,7 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def checked_width(vector: Column, dim: int) -> Column:
-    """The vector, failing the job on any row of another width."""
-    message = F.format_string(
-        f"vector width mismatch: expected {dim}, found %d; rebuild the index", F.size(vector)
-    )
-    return F.when(
-        vector.isNull() | (F.size(vector) == dim), vector
-    ).otherwise(F.raise_error(message))
+    """The packed vector, failing the job on any row of another width."""
+    width = F.octet_length(vector) / 4
+    message = F.format_string(f"vector width mismatch: expected {dim}, found %.0f; rebuild the index", width)
+    return F.when(vector.isNull() | (width == dim), vector).otherwise(F.raise_error(message))

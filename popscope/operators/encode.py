@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, FloatType, StructField, StructType
 
+from popscope.functions import blocks
 from popscope.functions.encoders import Encoder
 from popscope.functions.text import passage_text, with_prefix
 from popscope.spec import PopulationSpec
@@ -24,10 +25,12 @@ def passages(population: DataFrame, spec: PopulationSpec) -> DataFrame:
 
 
 def encode_text(
-    rows: DataFrame, encoder: Encoder, prefix: str, tasks: int | None = None
+    rows: DataFrame, encoder: Encoder, prefix: str, tasks: int | None = None, packed: bool = False
 ) -> DataFrame:
     """Replace the column ``text`` by ``vec``; other columns pass through.
 
+    ``packed`` gives vectors as bytes, the form in which an index stores them.
+
     ``tasks`` spreads the rows over that many tasks first, which pays when encoding
     a row costs far more than moving it.
     """
@@ -43,12 +46,11 @@ def encode_text(
             vectors = np.empty((batch.num_rows, dim), dtype=np.float32)
             for start in range(0, batch.num_rows, size):
                 vectors[start : start + size] = encoder.encode(texts.slice(start, size).to_pylist())
-            ends = np.arange(0, vectors.size + 1, dim, dtype=np.int32)
-            vec = pa.ListArray.from_arrays(ends, pa.array(vectors.ravel()))
+            vec = blocks.pack(vectors) if packed else blocks.lists(vectors)
             others = batch.columns[:-1]
             yield pa.RecordBatch.from_arrays([*others, vec], names=[*names, "vec"])
 
-    schema = StructType([*kept, StructField("vec", VECTOR)])
+    schema = StructType([*kept, StructField("vec", BinaryType() if packed else VECTOR)])
     return rows.mapInArrow(encode, schema)
 
 
@@ -71,3 +73,25 @@ def encode_query(query: str, encoder: Encoder) -> list[float]:
     if not isinstance(query, str) or not query:
         raise ValueError(EMPTY_QUERY)
     return np.asarray(encoder.encode([encoder.query_prefix + query]), dtype=np.float32)[0].tolist()
+
+
+def unpack(index: DataFrame, dim: int) -> DataFrame:
+    """``id`` and ``vec`` of a packed index with the vectors as arrays."""
+
+    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, rows in blocks.slices(batches, dim):
+            yield pa.RecordBatch.from_arrays([ids, blocks.lists(rows)], names=["id", "vec"])
+
+    schema = StructType([index.schema["id"], StructField("vec", VECTOR)])
+    return index.select("id", "vec").mapInArrow(arrays, schema)
+
+
+def pack(index: DataFrame, dim: int) -> DataFrame:
+    """``id`` and ``vec`` of an index of arrays with the vectors as packed floats."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, rows in blocks.slices(batches, dim):
+            yield pa.RecordBatch.from_arrays([ids, blocks.pack(rows)], names=["id", "vec"])
+
+    schema = StructType([index.schema["id"], StructField("vec", BinaryType())])
+    return index.select("id", "vec").mapInArrow(packed, schema)

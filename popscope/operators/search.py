@@ -27,39 +27,40 @@ CELL_ROWS = 65_536
 CELL_NUMBERS = 25_000_000
 
 
-def vector_scores(
-    index: DataFrame, vector: Sequence[float], metric: str = "dot", k: int | None = None
-) -> DataFrame:
-    """``id`` and ``score`` of the index rows (``id``, ``vec``), in no order.
+def vector_scores(index: DataFrame, vector: Sequence[float], metric: str = "dot") -> DataFrame:
+    """``id`` and ``score`` of all index rows (``id``, ``vec``), in no order.
 
-    With ``k`` every task returns its own k best rows only. Rows whose score is NaN
-    or NULL are left out; a row of another width fails the job.
+    Rows whose score is NaN or NULL are left out; a row of another width fails the job.
     """
-    query, cosine = np.asarray(vector, dtype=np.float64), _is_cosine(metric)
-    if query.ndim != 1 or not len(query):
-        raise ValueError("the query vector must be a non-empty list of numbers")
+    query, cosine = np.asarray(_checked_vector(vector)), _is_cosine(metric)
+    if cosine:
+        query = blocks.unit(query[None, :])[0]
     schema = StructType([index.schema["id"], StructField("score", DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None
         for ids, rows in blocks.slices(batches, len(query)):
-            values = blocks.scores(rows, query, cosine)
-            found = pa.table({"id": ids, "score": values}).filter(pa.array(~np.isnan(values)))
-            if k is None:
-                yield from found.to_batches()
-            else:
-                found = blocks.best(found, k)
-                kept = found if kept is None else blocks.best(pa.concat_tables([kept, found]), k)
-        if kept is not None:
-            yield from kept.combine_chunks().to_batches()
+            values = blocks.dots(blocks.unit(rows) if cosine else rows, query)
+            found = pa.RecordBatch.from_arrays([ids, pa.array(values)], names=["id", "score"])
+            yield found.filter(pa.array(~np.isnan(values)))
 
     return index.select("id", "vec").mapInArrow(score, schema)
 
 
 def vector_topk(index: DataFrame, vector: Sequence[float], k: int, metric: str = "dot") -> DataFrame:
-    """The k index rows with the highest score; equal scores by id."""
-    k = _checked_k(k)
-    return vector_scores(index, vector, metric, k).orderBy(F.desc("score"), "id").limit(k)
+    """The k index rows with the highest score; equal scores by id.
+
+    Every task passes on its own k best rows only.
+    """
+    k, vector, cosine = _checked_k(k), _checked_vector(vector), _is_cosine(metric)
+    schema = StructType([index.schema["id"], StructField("score", DoubleType())])
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query = pa.table({"query_id": [0], "vec": [vector]})
+        for found in blocks.best_pairs(query, batches, len(vector), k, cosine):
+            yield found.select(["id", "score"])
+
+    found = index.select("id", "vec").mapInArrow(best, schema)
+    return found.orderBy(F.desc("score"), "id").limit(k)
 
 
 def vector_topk_batch(
@@ -86,11 +87,11 @@ def vector_topk_batch(
         [queries.schema["query_id"], index.schema["id"], StructField("score", DoubleType())]
     )
     few = queries.limit(query_rows + 1).toArrow().combine_chunks()
-    dim = len(few.column("vec")[0]) if few.num_rows else 1
+    dim = _width(few.column("vec")[0].as_py()) if few.num_rows else 1
     if few.num_rows <= min(query_rows, max(QUERY_NUMBERS // dim, 1)):
 
         def against_all(batches):
-            yield from _best_pairs(few, batches, dim, k, cosine)
+            yield from blocks.best_pairs(few, batches, dim, k, cosine)
 
         found = index.mapInArrow(against_all, schema)
     else:
@@ -121,68 +122,13 @@ def _cell_pairs(index, queries, parts, cells, dim, k, cosine, schema):
         batches, part = rows.select(["id", "vec"]).to_batches(), part.select(["query_id", "vec"])
         found = []
         for start in range(0, part.num_rows, block):
-            found += _best_pairs(part.slice(start, block), batches, dim, k, cosine)
+            found += blocks.best_pairs(part.slice(start, block), batches, dim, k, cosine)
         return pa.Table.from_batches(found, pa.schema(fields))
 
     grouped = left.groupBy("cell", "part").cogroup(right.groupBy("cell", "part"))
     return grouped.applyInArrow(pair, schema)
 
 
-def _best_pairs(queries: pa.Table, batches, dim, k, cosine) -> Iterator[pa.RecordBatch]:
-    """The k best rows of the batches for each query.
-
-    A matrix product finds the candidates. It may round differently from the exact
-    score, so everything within its error bound of the k-th value is scored again.
-    """
-    if not queries.num_rows:
-        return
-    query_ids = queries.column(0).combine_chunks()
-    wanted = blocks.matrix(queries.column(1).combine_chunks(), dim).astype(np.float64)
-    if cosine:
-        wanted = _unit(wanted)
-    reach = np.abs(np.nan_to_num(wanted, posinf=0, neginf=0)).sum(axis=1)
-    floor = np.full(len(wanted), -np.inf)  # k-th best score so far, per query
-    kept = None
-    for ids, rows in blocks.slices(batches, dim):
-        rows = rows.astype(np.float64)
-        if cosine:
-            rows = _unit(rows)
-        with np.errstate(invalid="ignore", over="ignore"):
-            rough = wanted @ rows.T
-        rough[np.isnan(rough)] = -np.inf
-        slack = 4 * dim * np.finfo(np.float64).eps * reach * np.abs(np.nan_to_num(rows, posinf=0, neginf=0)).max()
-        bar = floor
-        if len(rows) > k:
-            bar = np.maximum(bar, np.partition(rough, len(rows) - k, axis=1)[:, len(rows) - k])
-        query_at, row_at = np.nonzero(rough >= (bar - slack)[:, None])
-        values = blocks.dots(rows[row_at], wanted[query_at])
-        found = pa.table(
-            {"query": query_at, "id": ids.take(pa.array(row_at)), "score": values}
-        ).filter(pa.array(~np.isnan(values)))
-        kept = _best_per_query(found if kept is None else pa.concat_tables([kept, found]), k)
-        at, score = kept.column("query").to_numpy(), kept.column("score").to_numpy()
-        full = np.bincount(at, minlength=len(wanted)) >= k
-        lowest = np.full(len(wanted), np.inf)
-        np.minimum.at(lowest, at, score)
-        floor = np.where(full, lowest, -np.inf)
-    if kept is not None and kept.num_rows:
-        out = [query_ids.take(kept.column("query").combine_chunks()), kept.column("id"), kept.column("score")]
-        yield from pa.table(out, names=["query_id", "id", "score"]).combine_chunks().to_batches()
-
-
-def _best_per_query(table: pa.Table, k: int) -> pa.Table:
-    order = [("query", "ascending"), ("score", "descending"), ("id", "ascending")]
-    table = table.sort_by(order)
-    at = table.column("query").to_numpy()
-    rank = np.arange(len(at)) - np.searchsorted(at, at)
-    return table.filter(pa.array(rank < k))
-
-
-def _unit(rows: np.ndarray) -> np.ndarray:
-    with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
-        return rows / np.sqrt(blocks.dots(rows, rows))[:, None]
-
-
 def hydrate(population: DataFrame, spec: PopulationSpec, hits: DataFrame, bounded: bool = False) -> DataFrame:
     """Population rows of the hits with the hits' other columns added.
 
@@ -239,6 +185,17 @@ def _is_cosine(metric: str) -> bool:
     return metric == "cosine"
 
 
+def _checked_vector(vector: Sequence[float]) -> list[float]:
+    vector = [float(x) for x in vector]
+    if not vector:
+        raise ValueError("the query vector must be a non-empty list of numbers")
+    return vector
+
+
+def _width(vector: list | bytes) -> int:
+    return len(vector) // 4 if isinstance(vector, bytes) else len(vector)
+
+
 def _checked_k(k: int, name: str = "k") -> int:
     if isinstance(k, bool) or not isinstance(k, int) or k < 1:
         raise ValueError(f"{name} must be a positive integer, got {k!r}")

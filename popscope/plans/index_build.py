@@ -29,7 +29,7 @@ def hashed_passages(population: DataFrame, spec: PopulationSpec) -> DataFrame:
 
 
 def encoded_rows(rows: DataFrame, encoder: Encoder, tasks: int | None = None) -> DataFrame:
-    vectors = encode_text(rows, encoder, encoder.passage_prefix, tasks)
+    vectors = encode_text(rows, encoder, encoder.passage_prefix, tasks, packed=True)
     return vectors.withColumn("built_at", F.current_timestamp())
 
 

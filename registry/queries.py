@@ -137,6 +137,16 @@ def panel_unstratified(spark, sf):
     return ps.panel(table(spark, sf, "part"), PART, 12, seed=42)
 
 
+@query
+def sample_late(spark, sf):
+    return ps.sample_late(table(spark, sf, "documents"), DOCUMENTS, 20, {"lang": ["en", "fr"]}, seed=42)
+
+
+@query
+def panel_late(spark, sf):
+    return ps.panel_late(table(spark, sf, "documents"), DOCUMENTS, 20, "source", {"n_chars_range": (100, 10**9)}, seed=42)
+
+
 # Distribution
 
 
@@ -303,9 +313,14 @@ def search_pre_filter(spark, sf):
     return _search(spark, sf, filters={"lang": "en", "n_chars_range": (500, 1_000_000)}, mode="pre")
 
 
-def _search(spark, sf, **options):
+@query
+def search_late(spark, sf):
+    return _search(spark, sf, ps.search_late, filters={"lang": "en", "n_chars_range": (500, 1_000_000)})
+
+
+def _search(spark, sf, search=ps.search, **options):
     index = given_index(spark, sf)
-    hits = ps.search(table(spark, sf, "documents"), DOCUMENTS, index, 10, vector=_first_vector(index), **options)
+    hits = search(table(spark, sf, "documents"), DOCUMENTS, index, 10, vector=_first_vector(index), **options)
     return hits.withColumn("score", F.round("score", 6))
 
 
@@ -363,7 +378,7 @@ def _index_print(spark: SparkSession, root: str) -> DataFrame:
     weighted = F.aggregate(
         F.transform("vec", lambda x, i: x.cast("double") * i), F.lit(0.0), lambda total, x: total + x
     )
-    return ps.open_index(spark, root, dim=ENCODER.dim).select(
+    return ps.unpack(ps.open_index(spark, root, dim=ENCODER.dim), ENCODER.dim).select(
         "id", F.size("vec").cast("long").alias("width"), F.round(weighted, 5).alias("print")
     )
 

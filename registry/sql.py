@@ -39,11 +39,20 @@ def _encoded(texts, name="coded"):
             SELECT id, m % 1000003 % 384 AS pos, sum(1 - 2 * (m // 1000003 % 2)) AS n
             FROM {name}_mixed WHERE m IS NOT NULL GROUP BY 1, 2),
         {name}_norms AS (SELECT id, sqrt(sum(n * n)) AS norm FROM {name}_counts GROUP BY 1),
-        {name} AS (
+        {name} AS MATERIALIZED (
             SELECT id, pos, (n / norm)::FLOAT::DOUBLE AS value
             FROM {name}_counts JOIN {name}_norms USING (id) WHERE n <> 0)"""
 
 
+def _dense(name, id, table):
+    """The encoded rows as whole vectors."""
+    return f"""
+        {name}_dense AS MATERIALIZED (
+            SELECT i.id, list(coalesce(value, 0) ORDER BY p.pos) AS vec
+            FROM (SELECT {id} AS id FROM {table}) i CROSS JOIN (SELECT unnest(range(384)) AS pos) p
+            LEFT JOIN {name} v ON v.id = i.id AND v.pos = p.pos GROUP BY 1)"""
+
+
 _PASSAGE = "'passage: ' || concat_ws(' ', nullif(lang, ''), nullif(source, ''), nullif(text, ''))"
 _DOCUMENTS = f"SELECT doc_id AS id, {_PASSAGE} AS t FROM documents"
 _PRINT = "SELECT id, 384::BIGINT AS width, round(sum(pos * value), 5) AS print FROM coded GROUP BY id"
@@ -97,6 +106,8 @@ SQL = {
         "customer", "c_custkey", "c_nationkey", 1, 20, "c_nationkey IN (1, 2, 3) AND c_acctbal BETWEEN 9000 AND 9100"
     ),
     "panel_unstratified": _sample("part", "p_partkey", 42, 12),
+    "sample_late": _sample("documents", "doc_id", 42, 20, "lang IN ('en', 'fr')"),
+    "panel_late": _panel("documents", "doc_id", "source", 42, 20, "n_chars BETWEEN 100 AND 1000000000"),
     "stats_category": _stats("part", "p_brand"),
     "stats_decade_label": _stats("part", "(p_size - p_size % 10)::VARCHAR || '대'"),
     "stats_filtered": _stats("customer", "c_mktsegment", 50, "c_nationkey IN (1, 5, 7) AND c_acctbal BETWEEN 0 AND 5000"),
@@ -141,6 +152,7 @@ SQL = {
     "vector_topk_batch_cells": _BATCH,
     "search_hydrated": _search("SELECT * FROM scored ORDER BY s DESC, vec_id LIMIT 10"),
     "search_post_filter": _search("SELECT * FROM scored ORDER BY s DESC, vec_id LIMIT 100", _FILTER),
+    "search_late": _search("SELECT * FROM scored ORDER BY s DESC, vec_id LIMIT 100", _FILTER),
     "search_pre_filter": _search("SELECT * FROM scored", _FILTER),
     "passage_texts": f"SELECT doc_id, {_PASSAGE} AS passage FROM documents",
     "passage_texts_conversations": """SELECT conv_id, turn,
@@ -148,13 +160,15 @@ SQL = {
     "encode_passages": f"WITH {_encoded(_DOCUMENTS)} SELECT id, pos, round(value, 6) AS value FROM coded",
     "encode_query_search": f"""
         WITH {_encoded(_DOCUMENTS)}, {_encoded(f"SELECT 0 AS id, 'query: {SEARCH_TEXT}' AS t", "asked")},
-        hits AS (SELECT c.id, sum(c.value * a.value) AS s FROM coded c JOIN asked a USING (pos) GROUP BY 1
+        hits AS (SELECT c.id, sum(c.value * a.value ORDER BY c.pos) AS s FROM coded c JOIN asked a USING (pos) GROUP BY 1
                  ORDER BY 2 DESC, 1 LIMIT 10)
         SELECT d.*, round(s, 6) AS score FROM hits JOIN documents d ON doc_id = hits.id""",
     "encode_queries_search": f"""
-        WITH {_encoded(_DOCUMENTS)}, {_encoded("SELECT item_id AS id, 'query: ' || text AS t FROM benchmark", "asked")},
-        scored AS (SELECT a.id AS query_id, c.id, sum(c.value * a.value) AS s
-                   FROM coded c JOIN asked a USING (pos) GROUP BY 1, 2),
+        WITH {_encoded(_DOCUMENTS)}, {_dense("coded", "doc_id", "documents")},
+        {_encoded("SELECT item_id AS id, 'query: ' || text AS t FROM benchmark", "asked")},
+        {_dense("asked", "item_id", "benchmark")},
+        scored AS (SELECT a.id AS query_id, c.id, {_dot('c.vec', 'a.vec')} AS s
+                   FROM coded_dense c CROSS JOIN asked_dense a),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM scored)
         SELECT query_id, id, rank, round(s, 6) AS score FROM ranked WHERE rank <= 3""",
     "index_build_batch": f"WITH {_encoded(_DOCUMENTS)} {_PRINT}",
