@@ -42,7 +42,7 @@ def read_picked(population: DataFrame, spec: PopulationSpec, picked: DataFrame)
     local = population.sparkSession.createDataFrame(places, place)
     found = population.where(F.col("_metadata.file_path").isin(files) & F.col(spec.id).isin(ids))
     # As few rows as were picked.
-    return found.join(F.broadcast(local), spec.id).orderBy(POSITION).drop(POSITION)
+    return found.join(F.broadcast(local), spec.id).orderBy(POSITION).limit(len(rows)).drop(POSITION)
 
 
 def _nothing(population, added):
