@@ -138,7 +138,7 @@ SQL = {
         WITH tripled AS (SELECT vec_id AS id, list_transform(embedding, lambda x: (x * 3::FLOAT)::DOUBLE) AS v FROM embeddings),
         normed AS (SELECT id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM tripled)
         SELECT id, (unnest(generate_series(1, len(v))) - 1)::INTEGER AS pos,
-               round(unnest(list_transform(v, lambda x: (x / norm)::FLOAT::DOUBLE)), 5) AS value FROM normed""",
+               round(unnest(list_transform(v, lambda x: (x / norm)::FLOAT::DOUBLE)), 5) + 0.0::DOUBLE AS value FROM normed""",
     "vector_dot": "SELECT vec_id AS id, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE * 0.125)), 6) AS score FROM embeddings",
     "vector_topk": f"""SELECT vec_id AS id, round({_dot('embedding', _QUERY)}, 6) AS score FROM embeddings
         ORDER BY {_dot('embedding', _QUERY)} DESC, vec_id LIMIT 20""",
