@@ -17,6 +17,7 @@ from popscope.operators.stats import stats
 from popscope.plans.first_rows import first_rows
 from popscope.plans.index_build import BuildReport, build_index
 from popscope.plans.late_rows import panel_late, sample_late, search_late
+from popscope.settings import SETTINGS
 from popscope.shipping import ship_package
 from popscope.sources.population import (
     DatasetMissingError,

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from popscope.functions import blocks
@@ -117,13 +118,16 @@ def _cell_pairs(index, queries, parts, cells, dim, k, cosine, schema):
     )
     block = max(min(QUERY_ROWS, QUERY_NUMBERS // dim), 1)
 
+    nothing = to_arrow_schema(schema).empty_table()
+
     def pair(rows: pa.Table, part: pa.Table) -> pa.Table:
-        fields = [part.schema.field("query_id"), rows.schema.field("id"), pa.field("score", pa.float64())]
+        if not rows.num_rows or not part.num_rows:  # such a side comes without columns
+            return nothing
         batches, part = rows.select(["id", "vec"]).to_batches(), part.select(["query_id", "vec"])
         found = []
         for start in range(0, part.num_rows, block):
             found += blocks.best_pairs(part.slice(start, block), batches, dim, k, cosine)
-        return pa.Table.from_batches(found, pa.schema(fields))
+        return pa.Table.from_batches(found) if found else nothing
 
     grouped = left.groupBy("cell", "part").cogroup(right.groupBy("cell", "part"))
     return grouped.applyInArrow(pair, schema)

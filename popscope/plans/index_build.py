@@ -62,9 +62,9 @@ def build_index(
     if limit is not None:
         population = first_rows(population, spec.id, limit)
     store = IndexStore(population.sparkSession, root)
-    schema = stored_schema(population.schema[spec.id])
-    pending_path = store.pending_path(store.generation() + 1)
-    published = None if force else store.stored(schema)
+    schema, generation = stored_schema(population.schema[spec.id]), store.generation()
+    pending_path = store.pending_path(generation + 1)
+    published = None if force else store.stored(generation, schema)
     pending = None if force else read_if_present(store.spark, pending_path, schema)
 
     todo = hashed_passages(population, spec)
@@ -72,13 +72,14 @@ def build_index(
         if done is not None:
             todo = todo.join(done.select("id", "text_hash"), ["id", "text_hash"], "left_anti")
     encoded = 0
-    for part in _rounds(todo, rounds, f"{root}/todo-{store.generation() + 1}"):
+    for part in _rounds(todo, rounds, f"{root}/todo-{generation + 1}"):
         counted = Observation()
         vectors = encoded_rows(part, encoder, tasks).observe(counted, F.count(F.lit(1)).alias("n"))
         mode = "overwrite" if force and not encoded else "append"
         vectors.write.mode(mode).parquet(pending_path)
         encoded += counted.get["n"]
-    merge_pending(store, schema, keep_published=not force, files=files)
+    parts = [part for part in (published, read_if_present(store.spark, pending_path, schema)) if part is not None]
+    store.publish(generation + 1, parts, files)
     return BuildReport(root, encoded, time.monotonic() - started)
 
 
@@ -97,11 +98,3 @@ def _rounds(todo: DataFrame, rounds: int, path: str) -> Iterator[DataFrame]:
 def _ddl(rows: DataFrame) -> str:
     return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in rows.schema)
 
-
-def merge_pending(store: IndexStore, schema, keep_published: bool = True, files: int | None = None) -> None:
-    """Publish the pending vectors together with those published before."""
-    pending = read_if_present(store.spark, store.pending_path(store.generation() + 1), schema)
-    published = store.stored(schema) if keep_published else None
-    parts = [part for part in (published, pending) if part is not None]
-    if parts:
-        store.publish(parts, files)

@@ -70,20 +70,15 @@ class IndexStore:
     def pending_path(self, generation: int) -> str:
         return f"{self.root}/pending-{generation}"
 
-    def stored(self, schema: StructType) -> DataFrame | None:
-        """All columns of the published index."""
-        generation = self.generation()
+    def stored(self, generation: int, schema: StructType) -> DataFrame | None:
+        """All columns of a generation; None before the first."""
         return read_if_present(self.spark, self.generation_path(generation), schema) if generation else None
 
-    def append_pending(self, vectors: DataFrame) -> None:
-        vectors.write.mode("append").parquet(self.pending_path(self.generation() + 1))
-
-    def publish(self, parts: list[DataFrame], files: int | None = None) -> None:
-        """Merge the parts into the next generation: the newest vector of each id, by id.
+    def publish(self, generation: int, parts: list[DataFrame], files: int | None = None) -> None:
+        """Merge the parts into a generation: the newest vector of each id, by id.
 
         One shuffle: ranges of the id also bring equal ids together for the window.
         """
-        generation = self.generation() + 1
         rows = parts[0]
         for part in parts[1:]:
             rows = rows.unionByName(part)

@@ -49,7 +49,8 @@ def start_index_stream(
 def publish_stream(spark: SparkSession, spec: PopulationSpec, schema: StructType, root: str) -> None:
     """Merge what the stream has written into a new generation of the index."""
     store, stored = IndexStore(spark, root), stored_schema(schema[spec.id])
-    parts = [store.stored(stored), read_if_present(spark, f"{root}/stream", stored)]
+    generation = store.generation()
+    parts = [store.stored(generation, stored), read_if_present(spark, f"{root}/stream", stored)]
     parts = [part for part in parts if part is not None]
     if parts:
-        store.publish(parts)
+        store.publish(generation + 1, parts)

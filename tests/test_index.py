@@ -157,7 +157,7 @@ def test_failed_publishing_is_repeated(spark, people, tmp_path):
     root = str(tmp_path / "index")
     store = IndexStore(spark, root)
     rows = encoded_rows(hashed_passages(people, PERSON), ENCODER)
-    store.append_pending(rows)
+    rows.write.parquet(store.pending_path(1))
     rows.limit(10).write.parquet(store.generation_path(1))
     assert build_index(people, PERSON, Failing(dim=48), root).encoded == 0
     assert stored(spark, root) == expected(people)
