@@ -113,17 +113,17 @@ def _cell_pairs(index, queries, parts, cells, dim, k, cosine, schema):
     right = queries.select(
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))).alias("cell"),
         F.pmod(F.xxhash64("query_id"), F.lit(parts)).alias("part"),
-        "query_id",
-        "vec",
+        # Renamed, as queries taken from the index itself share its columns.
+        F.col("query_id").alias("query"),
+        F.col("vec").alias("query_vec"),
     )
     block = max(min(QUERY_ROWS, QUERY_NUMBERS // dim), 1)
-
     nothing = to_arrow_schema(schema).empty_table()
 
     def pair(rows: pa.Table, part: pa.Table) -> pa.Table:
         if not rows.num_rows or not part.num_rows:  # such a side comes without columns
             return nothing
-        batches, part = rows.select(["id", "vec"]).to_batches(), part.select(["query_id", "vec"])
+        batches, part = rows.select(["id", "vec"]).to_batches(), part.select(["query", "query_vec"])
         found = []
         for start in range(0, part.num_rows, block):
             found += blocks.best_pairs(part.slice(start, block), batches, dim, k, cosine)

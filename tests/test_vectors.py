@@ -87,6 +87,14 @@ def test_batch_is_exact(spark, index, vectors, options, packed):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_batch_with_queries_from_the_index(index, vectors):
+    queries = index.where("id < 20").select(F.col("id").alias("query_id"), "vec")
+    for options in ({}, {"query_rows": 3, "cell_rows": 100, "cell_numbers": 240}):
+        found = vector_topk_batch(index, queries, 2, **options).collect()
+        wanted = {(q, rank + 1, *hit) for q in range(20) for rank, hit in enumerate(expected(vectors, vectors[q], 2))}
+        assert {(r["query_id"], r["rank"], r["id"], r["score"]) for r in found} == wanted
+
+
 def test_batch_without_queries_or_index(spark, index):
     none = spark.createDataFrame([], "query_id long, vec array<float>")
     assert vector_topk_batch(index, none, 3).count() == 0
