@@ -46,12 +46,10 @@ def panel(
         return sample(population, spec, n, filters, seed)
     n, seed, stratum = spec.checked_n(n), checked_seed(seed), spec.stratum(stratify_by)
     id_column = F.col(spec.id)
-    keyed = (
-        matching(population, spec, filters)
-        .withColumn(STRATUM, stratum.key())
-        .withColumn(INNER, random_key(id_column, seed, "a"))
-        .withColumn(KEY, random_key(id_column, seed, "b"))
+    keyed = matching(population, spec, filters).withColumns(
+        {STRATUM: stratum.key(), INNER: random_key(id_column, seed, "a")}
     )
     # No row past rank n of its stratum can be among the first n of all.
     ranked = first_per_group(keyed, [STRATUM], [INNER, spec.id], n, RANK)
-    return ranked.orderBy(RANK, KEY, spec.id).limit(n).drop(STRATUM, INNER, KEY, RANK)
+    across = ranked.withColumn(KEY, random_key(id_column, seed, "b"))
+    return across.orderBy(RANK, KEY, spec.id).limit(n).drop(STRATUM, INNER, KEY, RANK)

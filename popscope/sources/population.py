@@ -23,7 +23,7 @@ def parquet_files(spark: SparkSession, path: str) -> DataFrame:
     return files.option("recursiveFileLookup", "true").load(path).select("path", "length")
 
 
-def open_population(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def open_population(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """The table at ``path``, or ``DatasetMissingError``.
 
     With a ``schema`` no file has to be opened to find the columns.

@@ -78,8 +78,25 @@ DOCUMENTS = PopulationSpec(
 CONVERSATIONS = PopulationSpec(id="conv_id", passage=("role", "text"))
 
 
+# Given, so that opening a table needs no job to find its columns.
+SCHEMAS = {
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "conversations": "conv_id long, turn long, role string, text string",
+    "benchmark": "item_id long, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return open_population(spark, f"{sf_dir}/{name}.parquet")
+    return open_population(spark, f"{sf_dir}/{name}.parquet", SCHEMAS[name])
 
 
 def given_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,7 +72,7 @@ def test_cosine(index, vectors):
 
 
 @pytest.mark.parametrize("options", [{}, {"query_rows": 3}, {"query_rows": 3, "cell_rows": 50, "cell_numbers": 240},
-                                     {"query_rows": 3, "cell_rows": 1, "cell_numbers": 24}])
+                                     {"query_rows": 3, "cell_rows": 100, "cell_numbers": 24}])
 @pytest.mark.parametrize("packed", [False, True])
 def test_batch_is_exact(spark, index, vectors, options, packed):
     queries = spark.createDataFrame([(f"q{i}", v) for i, v in enumerate(vectors[95:125])] + [("none", None)],
