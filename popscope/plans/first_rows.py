@@ -5,38 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many ids are sorted in one task.
-ONE_TASK = 1_000_000
+ONE_TASK = 20_000  # up to this many rows may end in one task
+RANGES = 1_000
 
 
-def first_rows(rows: DataFrame, id_column: str, n: int, one_task: int = ONE_TASK) -> DataFrame:
+def first_rows(
+    rows: DataFrame, id_column: str, n: int, one_task: int = ONE_TASK, ranges: int = RANGES
+) -> DataFrame:
     """The n rows with the lowest ids; all of them when there are fewer.
 
     A large n must not end in one task. There the ids, alone, are cut into ranges
-    and counted, and every id up to the range in which the n-th falls is in; only
-    that one range is sorted. Ids are taken as unique.
+    and counted. Every row below the range in which the n-th id falls is in, and the
+    rest is found within that range in the same way. Ids are taken as unique.
     """
     if isinstance(n, bool) or not isinstance(n, int) or n < 1:
         raise ValueError(f"limit must be a positive integer, got {n!r}")
-    if n <= one_task:
-        return rows.orderBy(id_column).limit(n)
     id = F.col(id_column)
-    parts = max(-(-n // one_task) * 4, 200)
-    ranges = (
+    if n <= one_task:
+        return rows.orderBy(id).limit(n)
+    counted = (
         rows.select(id_column)
-        .repartitionByRange(parts, id)
+        .repartitionByRange(ranges, id)
         .groupBy(F.spark_partition_id().alias("range"))
         .agg(F.count(F.lit(1)).alias("rows"), F.max(id).alias("last"))
     )
-    upto = Window.orderBy("range")  # over one row per range
-    counted = ranges.withColumn("total", F.sum("rows").over(upto)).withColumn(
-        "before", F.lag("last").over(upto)
+    upto = Window.orderBy("range")  # one row per range
+    totals = counted.withColumns(
+        {
+            "total": F.sum("rows").over(upto),
+            "before": F.lag("last").over(upto),
+            "all": F.sum("rows").over(Window.partitionBy()),
+        }
     )
-    edge = counted.where(F.col("total") >= n).orderBy("range").first()
+    edge = totals.where(F.col("total") >= n).orderBy("range").first()
     if edge is None:
         return rows
-    if edge["before"] is None:
-        return rows.where(id <= edge["last"]).orderBy(id_column).limit(n)
-    missing = n - (edge["total"] - edge["rows"])
-    within = rows.where((id > edge["before"]) & (id <= edge["last"]))
-    return rows.where(id <= edge["before"]).unionByName(within.orderBy(id_column).limit(missing))
+    if edge["rows"] == edge["all"]:  # one range holds everything, so it cannot be cut further
+        return rows.orderBy(id).limit(n)
+    inside = id <= edge["last"] if edge["before"] is None else (id > edge["before"]) & (id <= edge["last"])
+    rest = first_rows(rows.where(inside), id_column, n - edge["total"] + edge["rows"], one_task, ranges)
+    return rest if edge["before"] is None else rows.where(id <= edge["before"]).unionByName(rest)

@@ -67,10 +67,8 @@ def build_index(
     published = None if force else store.stored(generation, schema)
     pending = None if force else read_if_present(store.spark, pending_path, schema)
 
-    todo = hashed_passages(population, spec)
-    for done in (published, pending):
-        if done is not None:
-            todo = todo.join(done.select("id", "text_hash"), ["id", "text_hash"], "left_anti")
+    done = [part.select("id", "text_hash") for part in (published, pending) if part is not None]
+    todo = _not_done(hashed_passages(population, spec), done, f"{root}/missing-{generation + 1}")
     encoded = 0
     for part in _rounds(todo, rounds, f"{root}/todo-{generation + 1}"):
         counted = Observation()
@@ -83,6 +81,22 @@ def build_index(
     return BuildReport(root, encoded, time.monotonic() - started)
 
 
+def _not_done(texts: DataFrame, done: list[DataFrame], path: str) -> DataFrame:
+    """The passages whose id and text are not in ``done``.
+
+    Only ids and hashes are compared. What is missing is written out, so that its size
+    is known when it meets the texts: if it is small, they need no shuffle.
+    """
+    if not done:
+        return texts
+    missing = texts.select("id", "text_hash")
+    for part in done:
+        missing = missing.join(part, ["id", "text_hash"], "left_anti")
+    missing.write.mode("overwrite").parquet(path)
+    written = texts.sparkSession.read.schema(missing.schema).parquet(path)
+    return texts.join(written, ["id", "text_hash"], "left_semi")
+
+
 def _rounds(todo: DataFrame, rounds: int, path: str) -> Iterator[DataFrame]:
     if rounds == 1:
         yield todo

@@ -90,8 +90,8 @@ def test_panel_sizes_are_even_until_exhausted(skewed, n, seed):
 def test_small_strata_have_a_fair_chance(skewed):
     """With one row asked for, the stratum with 99% of the rows must not win nearly always."""
     few = skewed.where("id >= 900 AND id < 999")  # 90 rows in one stratum, one row in each of nine
-    wins = sum(panel(few, SKEWED, 1, "group", seed=s).first()["group"] == "big" for s in range(60))
-    assert wins <= 20  # 6 expected
+    wins = sum(panel(few, SKEWED, 1, "group", seed=s).first()["group"] == "big" for s in range(24))
+    assert wins <= 10  # between 2 and 3 expected
 
 
 def test_panel_plan(skewed):
@@ -125,12 +125,15 @@ def test_late_rows_open_only_the_files_they_need(spark, people, tmp_path):
     assert broken >= 9 and late.collect() == wanted
 
 
-@pytest.mark.parametrize("n", [1, 7, 20, 21, 450, 499, 500, 501, 10_000])
+@pytest.mark.parametrize("n", [1, 21, 450, 500, 10_000])
 def test_first_rows(spark, n):
     table = spark.range(500).select((F.col("id") * 7919 % 500).alias("id"), F.lit("x").alias("t")).repartition(6)
     expected = list(range(min(n, 500)))
     assert sorted(ids(first_rows(table, "id", n), "id")) == expected
-    assert sorted(ids(first_rows(table, "id", n, one_task=20), "id")) == expected
+    for one_task, ranges in ((20, 50), (20, 4), (3, 3)):
+        assert sorted(ids(first_rows(table, "id", n, one_task, ranges), "id")) == expected
+    same = table.withColumn("id", F.lit(5))
+    assert first_rows(same, "id", n, 20, 4).count() == min(n, 500)
 
 
 def test_first_rows_refuses_nonsense(spark):
