@@ -25,6 +25,7 @@ from registry.tables import (
 
 ENCODER = ps.NgramEncoder()
 SEARCH_TEXT = "the order of then and there"
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 CUSTOMER_IDS = [3, 14, 15, 92, 65, 35, 89, 79, 999_999_999]
 QUERIES = {}
 
@@ -44,7 +45,10 @@ def filter_in_list(spark, sf):
 
 @query
 def filter_equals(spark, sf):
-    return ps.matching(table(spark, sf, "customer"), CUSTOMER, {"c_mktsegment": "BUILDING"})
+    closed = ps.PopulationSpec(
+        id="c_custkey", columns=(ps.categorical("c_mktsegment", values=SEGMENTS, closed=True),)
+    )
+    return ps.matching(table(spark, sf, "customer"), closed, {"c_mktsegment": "BUILDING"})
 
 
 @query
