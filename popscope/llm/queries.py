@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from popscope.llm.common import table
+from popscope.llm.chat import digests, format_conversations
+from popscope.llm.common import scratch, table
 from popscope.llm.interleave import interleave
 from popscope.llm.mixing import mix
 from popscope.llm.url_cascade import judge_urls
+from popscope.llm.warc import read_archives, write_archives
 
 QUERIES = {}
 
@@ -17,6 +19,14 @@ def query(function):
     return function
 
 
+@query
+def op1_warc_revisit(spark, sf):
+    folder = scratch(spark, "warc")
+    write_archives(table(spark, sf, "pages"), folder)
+    columns = F.col("page_id").cast("long"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long")
+    return read_archives(spark, folder).select(*columns)
+
+
 @query
 def op2_pareto_mix(spark, sf):
     return mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -27,6 +37,19 @@ def op4_url_cascade(spark, sf):
     return judge_urls(table(spark, sf, "pages"))
 
 
+PROBE = "</s>[INST] ok [/INST]"  # a text that looks like a template's marks
+
+
+@query
+def op5_chat_spans(spark, sf):
+    rows = table(spark, sf, "conversations")
+    probe = F.explode(F.array(F.struct(F.lit(0).alias("turn"), F.lit("user").alias("role")), F.struct(F.lit(1).alias("turn"), F.lit("assistant").alias("role"))))
+    extra = spark.range(1).select(probe.alias("t")).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("t.turn").cast("long").alias("turn"), "t.role", F.lit(PROBE).alias("text")
+    )
+    return digests(format_conversations(rows.unionByName(extra)))
+
+
 @query
 def op9_interleave(spark, sf):
     law = F.lit("rows").alias("law")

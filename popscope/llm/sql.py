@@ -23,6 +23,17 @@ _TARGETS = r"""
         SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
                CASE WHEN source_size > 0 THEN target - floor(target / source_size) * source_size ELSE 0 END AS draw FROM targets)"""
 
+_CONTROL = ("<|turn|>", "<|end|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>")
+
+
+def _escaped(text):
+    """The text with a backslash more for each backslash and control string."""
+    text = f"replace({text}, '\\', '\\\\')"
+    for mark in _CONTROL:
+        text = f"replace({text}, '{mark}', '{mark[0]}\\{mark[1:]}')"
+    return text
+
+
 SQL = {
     "op2_pareto_mix": f"""
         WITH {_TARGETS},
@@ -56,4 +67,23 @@ SQL = {
             FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
         SELECT p.page_id, host, path, rule, coalesce(kind, 'allow') AS verdict
         FROM parts p LEFT JOIN fits f ON p.page_id = f.page_id AND k = 1""",
+    "op1_warc_revisit": """
+        WITH marks AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+        coded AS (
+            SELECT *, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + (((instr('0123456789abcdef', hex[(5 * i) // 4 + 1]) - 1) * 16 + greatest(instr('0123456789abcdef', hex[(5 * i) // 4 + 2]) - 1, 0))
+                     // (1 << (3 - (5 * i) % 4)::INTEGER)) % 32, 1)), '') AS payload_digest
+            FROM marks),
+        firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM coded)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to FROM firsts""",
+    "op5_chat_spans": rf"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(17 + length(role) + length({_escaped('text')}))::BIGINT AS formatted_chars
+        FROM turns GROUP BY conv_id""",
 }
