@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from popscope.llm.chat import digests, format_conversations
 from popscope.llm.common import scratch, table
+from popscope.llm.fingerprint import edited_fingerprints
 from popscope.llm.interleave import interleave
 from popscope.llm.mixing import mix
+from popscope.llm.pii import find_pii
 from popscope.llm.url_cascade import judge_urls
 from popscope.llm.warc import read_archives, write_archives
 
@@ -32,6 +34,11 @@ def op2_pareto_mix(spark, sf):
     return mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op3_one_permutation(spark, sf):
+    return edited_fingerprints(table(spark, sf, "documents"))
+
+
 @query
 def op4_url_cascade(spark, sf):
     return judge_urls(table(spark, sf, "pages"))
@@ -50,6 +57,11 @@ def op5_chat_spans(spark, sf):
     return digests(format_conversations(rows.unionByName(extra)))
 
 
+@query
+def op8_pii_bootstrap(spark, sf):
+    return find_pii(table(spark, sf, "documents")).drop("added")
+
+
 @query
 def op9_interleave(spark, sf):
     law = F.lit("rows").alias("law")
