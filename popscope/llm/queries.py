@@ -9,6 +9,7 @@ from popscope.llm.common import scratch, table
 from popscope.llm.fingerprint import edited_fingerprints
 from popscope.llm.interleave import interleave
 from popscope.llm.mixing import mix
+from popscope.llm.near_dup import near_duplicates
 from popscope.llm.pii import find_pii
 from popscope.llm.url_cascade import judge_urls
 from popscope.llm.warc import read_archives, write_archives
@@ -57,6 +58,11 @@ def op5_chat_spans(spark, sf):
     return digests(format_conversations(rows.unionByName(extra)))
 
 
+@query
+def op6_bayes_dedup(spark, sf):
+    return near_duplicates(table(spark, sf, "documents"))
+
+
 @query
 def op8_pii_bootstrap(spark, sf):
     return find_pii(table(spark, sf, "documents")).drop("added")
