@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from popscope.llm.chat import digests, format_conversations
 from popscope.llm.common import scratch, table
+from popscope.llm.decontaminate import contaminated
 from popscope.llm.fingerprint import edited_fingerprints
 from popscope.llm.interleave import interleave
 from popscope.llm.mixing import mix
@@ -73,3 +74,8 @@ def op9_interleave(spark, sf):
     law = F.lit("rows").alias("law")
     grown = F.lit(None).cast("int").alias("grown_shard")
     return interleave(table(spark, sf, "documents")).select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@query
+def op10_cgk_decontaminate(spark, sf):
+    return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
