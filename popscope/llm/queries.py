@@ -9,6 +9,7 @@ from popscope.llm.common import scratch, table
 from popscope.llm.decontaminate import contaminated
 from popscope.llm.fingerprint import edited_fingerprints
 from popscope.llm.interleave import interleave
+from popscope.llm.langid import identify_languages
 from popscope.llm.mixing import mix
 from popscope.llm.near_dup import near_duplicates
 from popscope.llm.pii import find_pii
@@ -64,6 +65,11 @@ def op6_bayes_dedup(spark, sf):
     return near_duplicates(table(spark, sf, "documents"))
 
 
+@query
+def op7_byte_gru(spark, sf):
+    return identify_languages(table(spark, sf, "documents"))
+
+
 @query
 def op8_pii_bootstrap(spark, sf):
     return find_pii(table(spark, sf, "documents")).drop("added")
