@@ -205,12 +205,19 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component, and of repeated rows one; the columns stay."""
-    judged = stored(near_duplicates(docs), "judged")
-    dropped = stored(judged.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "dropped")
-    again = judged.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    again = stored(again, "again")
-    left = docs.join(small(dropped), "doc_id", "left_anti").select(docs.columns)
-    single = left.where("doc_id IS NOT NULL").join(small(again), "doc_id", "left_anti").select(docs.columns)
-    repeated = left.join(small(again), "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
-    return single.unionByName(repeated).unionByName(left.where("doc_id IS NULL").dropDuplicates(["text"]))
+    """``docs`` with one document of each component, and of repeated rows one; the columns stay.
+
+    Rows without an id go by a number made of their text, above all ids: they give way to near
+    copies that have one.
+    """
+    names = [f"_{i}" for i in range(len(docs.columns))]
+    id, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    by_text = F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    rows = docs.toDF(*names).withColumn("doc_id", F.coalesce(F.col(id).cast("long"), by_text))
+    judged = stored(near_duplicates(rows, text=text), "judged")
+    dropped = stored(judged.where("NOT kept").select("doc_id").distinct(), "dropped")
+    again = stored(judged.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    left = rows.join(small(dropped), "doc_id", "left_anti")
+    single = left.join(small(again), "doc_id", "left_anti")
+    repeated = left.join(small(again), "doc_id", "left_semi").dropDuplicates(["doc_id", text])
+    return single.unionByName(repeated).select(names).toDF(*docs.columns)
