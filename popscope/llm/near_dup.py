@@ -6,8 +6,11 @@ signatures batch by batch: with a uniform prior the posterior of the similarity
 agreements is a beta distribution, and a pair is dropped once the probability that it reaches
 the threshold is below ``MISS``. What is left is verified on the full sets.
 
+The lowest bits of all 128 values come first, together with masks of the sets, which bound the
+intersection; a join compares these without making rows of the pairs it drops.
+
 Only components are wanted, so a bucket's pairs are not all looked at. First each member is
-compared with the smallest. Then, round after round, members outside the bucket's largest
+compared with the one in the middle. Then, round after round, members outside the bucket's largest
 component are compared with all members outside their own, a bounded number of pairs per bucket and
 round, until every member outside that component has been. What is then left uncompared lies
 within one component, so no link that could join two components is passed over.
@@ -28,11 +31,11 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from popscope.llm.common import small, stored
-from popscope.llm.components import components
+from popscope.llm.components import components, joined_labels, relabelled
 from popscope.llm.shingles import mixed, text_blocks, text_shingles, word_hashes
 
 THRESHOLD = (75, 100)  # intersection by union
@@ -40,7 +43,10 @@ BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 BATCH = 16  # signature values compared at a time
 MISS = 1e-6  # probability of dropping a pair at the threshold or above, per test
-ROUND_PAIRS = 100_000  # pairs of one bucket compared in one round, about
+ROUND_PAIRS = 4_000_000  # pairs of one bucket looked at in one round, about
+
+MASK_LONGS = 64
+MASKS = [f"m{i}" for i in range(MASK_LONGS)]  # one bit per shingle, by the lowest bits of its hash
 
 _RANDOM = np.random.default_rng(6)
 _FACTORS = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -70,22 +76,39 @@ def least_matches(threshold: float = THRESHOLD[0] / THRESHOLD[1], miss: float =
     return out
 
 
-SETS = "doc_id {id}, n_shingles long, digest binary, signature binary"
+def least_bits(threshold: float = THRESHOLD[0] / THRESHOLD[1], miss: float = MISS) -> int:
+    """Agreeing lowest bits of the signatures' values without which a pair is dropped.
+
+    Values agree with the probability of the similarity, and else their bits do in half of the cases.
+    """
+    p, below = (1 + threshold) / 2, 0.0
+    for m in range(HASHES + 1):
+        below += comb(HASHES, m) * p**m * (1 - p) ** (HASHES - m)
+        if below >= miss:
+            return m
+    return HASHES
+
+
+SETS = "doc_id {id}, n_shingles long, digest binary, signature binary, bits0 long, bits1 long"
 
 
 def _sets(batches):
-    """Shingle count, digest of the set and signature of every text."""
+    """Shingle count, digest of the set, signature and the lowest bits of its values, of every text."""
     for batch in batches:
-        counts, digests, signatures = [], [], []
+        counts, digests, signatures, bits = [], [], [], []
         for _, data, offsets in text_blocks(batch.column(1)):
             words, ends = word_hashes(data, offsets)
             for a, b in zip(ends[:-1], ends[1:]):
                 found = text_shingles(words[a:b])
                 counts.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-                signatures.append(signature(found).tobytes() if len(found) else None)
+                values = signature(found)
+                signatures.append(values.tobytes() if len(found) else None)
+                bits.append(np.packbits((values & 1).astype(bool)).view(np.int64))
+        bits = np.array(bits, np.int64).reshape(-1, 2)
         arrays = [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())]
-        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "digest", "signature"])
+        names = ["doc_id", "n_shingles", "digest", "signature", "bits0", "bits1"]
+        yield pa.RecordBatch.from_arrays([*arrays, pa.array(bits[:, 0]), pa.array(bits[:, 1])], names=names)
 
 
 def _buckets(batches):
@@ -117,15 +140,39 @@ def _plausible(batches):
             yield pa.RecordBatch.from_arrays([part.column(i).take(pa.array(left)) for i in (0, 1)], names=["a", "b"])
 
 
+FULL = "id long, digest binary, shingles binary, filled long, " + ", ".join(f"{m} long" for m in MASKS)
+
+
 def _full_sets(batches):
+    """Digest, sorted shingles, and the mask of bits that some shingle falls on, with their number."""
     for batch in batches:
-        sets, digests = [], []
+        sets, digests, masks = [], [], []
         for _, data, offsets in text_blocks(batch.column(1)):
             words, ends = word_hashes(data, offsets)
-            found = [text_shingles(words[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:])]
-            sets += found
-            digests += [hashlib.blake2b(s, digest_size=16).digest() for s in found]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], names=["id", "digest", "shingles"])
+            for a, b in zip(ends[:-1], ends[1:]):
+                found = text_shingles(words[a:b])
+                sets.append(found.tobytes())
+                digests.append(hashlib.blake2b(sets[-1], digest_size=16).digest())
+                bits = np.zeros(64 * MASK_LONGS, np.uint8)
+                bits[found & np.uint64(64 * MASK_LONGS - 1)] = 1
+                masks.append(np.packbits(bits).view(np.int64))
+        masks = np.array(masks, np.int64).reshape(-1, MASK_LONGS)
+        filled = np.unpackbits(masks.view(np.uint8), axis=1).sum(axis=1, dtype=np.int64) if len(masks) else []
+        columns = [batch.column(0), pa.array(digests, pa.binary()), pa.array(sets, pa.binary()), pa.array(filled, pa.int64()), *map(pa.array, masks.T)]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "shingles", "filled", *MASKS])
+
+
+def _may_link() -> Column:
+    """Whether sizes, masks and lowest bits of two documents allow a link.
+
+    Shared shingles fall on shared bits; those that fall on a bit together with others are as
+    many as one side's shingles beyond its bits, at most. So no link is lost to the masks.
+    """
+    over, under = THRESHOLD
+    common = sum((F.bit_count(F.col(m).bitwiseAND(F.col(f"p_{m}"))) for m in MASKS[1:]), F.bit_count(F.col("m0").bitwiseAND(F.col("p_m0"))))
+    shared = F.least(common + F.least(F.col("size") - F.col("filled"), F.col("p_size") - F.col("p_filled")), "size", "p_size")
+    differ = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(f"p_{b}"))) for b in ("bits0", "bits1"))
+    return (shared * under >= (F.col("size") + F.col("p_size") - shared) * over) & (differ <= HASHES - least_bits())
 
 
 def _linked(batches):
@@ -158,44 +205,54 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     classes = sets.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     classes = stored(classes.where("rep IS NOT NULL"), "classes")
     standing = sets.where("n_shingles > 0").join(classes, (F.col("doc_id") == F.col("rep")) & (sets["digest"] == classes["digest"]), "left_semi")
-    standing = stored(standing.dropDuplicates(["doc_id", "digest"]).select(F.col("doc_id").alias("id"), "signature"), "standing")
+    standing = stored(standing.dropDuplicates(["doc_id", "digest"]).select(F.col("doc_id").alias("id"), "signature", F.col("n_shingles").alias("size"), "bits0", "bits1"), "standing")
 
-    in_bucket = standing.mapInArrow(_buckets, "bucket long, id long")
-    shared = in_bucket.groupBy("bucket").agg(F.min("id").alias("lead"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n"))
-    members = stored(in_bucket.distinct().join(shared.where("lead < last"), "bucket").select("bucket", "id", "lead", "n"), "members")
+    in_bucket = standing.select("id", "signature").mapInArrow(_buckets, "bucket long, id long")
+    shared = in_bucket.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n"))
+    members = stored(in_bucket.join(shared.where("first < last"), "bucket").select("bucket", "id", "n"), "members")
 
-    wanted = stored(members.select("id").distinct(), "wanted")
-    bodies = texts.join(small(wanted), F.col("doc_id") == F.col("id"), "left_semi")
-    full = bodies.mapInArrow(_full_sets, "id long, digest binary, shingles binary").dropDuplicates(["id", "digest"])
-    full = stored(full.select("id", "shingles"), "full")
+    # A document in the middle of a family shares more and larger buckets with it than one at its edge.
+    weights = stored(members.groupBy("id").agg(F.sum("n").alias("weight")), "weights")
+    middle = F.max_by("id", F.struct("weight", -F.col("id"))).alias("lead")
+    leads = members.join(small(weights), "id").groupBy("bucket").agg(middle)
+    bodies = texts.join(small(weights), F.col("doc_id") == F.col("id"), "left_semi")
+    full = bodies.mapInArrow(_full_sets, FULL).dropDuplicates(["id", "digest"]).drop("digest")
+    full = stored(full, "full")
 
     def verified(pairs):
         plausible = _with_ends(pairs, standing, "signature").mapInArrow(_plausible, "a long, b long")
-        plausible = stored(plausible.distinct(), "plausible")
-        return _with_ends(plausible, full, "shingles").mapInArrow(_linked, "a long, b long").distinct()
+        return stored(_with_ends(plausible, full, "shingles").mapInArrow(_linked, "a long, b long"), "links")
 
-    first = members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = stored(verified(first), "links")
+    first = members.join(leads, "bucket").where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    labels = stored(components(verified(first)), "labels")
+    open_ = members.join(labels, "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("component"))
     done = None  # members already compared with all of their bucket
     while True:
-        labels = components(links)
-        labelled = members.join(labels, "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("component"))
-        sizes = labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("held"))
+        # Only buckets of more than one component go on.
+        sizes = open_.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("held"))
         largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("held", "component")).alias("largest"), F.count(F.lit(1)).alias("parts"))
-        open_ = labelled.join(largest.where("parts > 1"), "bucket")
-        outside = open_.where("component <> largest").select("bucket", "id", "component", "n")
+        open_ = open_.drop("largest").join(largest.where("parts > 1").drop("parts"), "bucket")
+        if done is None:
+            open_ = open_.join(standing.drop("signature"), "id").join(full.drop("shingles"), "id")
+        open_ = stored(open_, "open")
+        outside = open_.where("component <> largest")
         if done is not None:
             outside = outside.join(done, ["bucket", "id"], "left_anti")
         order = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
         pivots = outside.withColumn("k", order).where(F.col("k") <= F.ceil(F.lit(ROUND_PAIRS) / F.col("n")))
-        pivots = stored(pivots.select("bucket", F.col("id").alias("pivot"), F.col("component").alias("own")), "pivots")
+        names = {"id": "pivot", "component": "own"} | {c: f"p_{c}" for c in ("size", "filled", "bits0", "bits1", *MASKS)}
+        pivots = stored(pivots.select("bucket", *(F.col(c).alias(name) for c, name in names.items())), "pivots")
         if pivots.isEmpty():
             break
-        pairs = pivots.join(labelled, "bucket").where("own <> component")
+        pairs = pivots.join(open_, (pivots["bucket"] == open_["bucket"]) & (F.col("own") != F.col("component")) & _may_link())
         pairs = pairs.select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b")).distinct()
-        links = stored(links.unionByName(verified(pairs)).distinct(), "links")
+        links = relabelled(verified(pairs).select("b", F.col("a").alias("component")), labels)
+        links = relabelled(links.select(F.col("component").alias("a"), F.col("b").alias("component")), labels)
+        moves = components(links.select("a", F.col("component").alias("b")))
+        labels = stored(joined_labels(labels, moves), "labels")
+        open_ = relabelled(open_, moves)
         used = pivots.select("bucket", F.col("pivot").alias("id"))
-        done = stored(used if done is None else done.unionByName(used), "done")
+        done = used if done is None else done.unionByName(used)
 
     named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     rows = sets.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest"))
