@@ -45,8 +45,7 @@ BATCH = 16  # signature values compared at a time
 MISS = 1e-6  # probability of dropping a pair at the threshold or above, per test
 ROUND_PAIRS = 4_000_000  # pairs of one bucket looked at in one round, about
 
-MASK_LONGS = 64
-MASKS = [f"m{i}" for i in range(MASK_LONGS)]  # one bit per shingle, by the lowest bits of its hash
+MASK_LONGS = 32  # of a mask with one bit per shingle, by the lowest bits of its hash
 
 _RANDOM = np.random.default_rng(6)
 _FACTORS = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -140,7 +139,7 @@ def _plausible(batches):
             yield pa.RecordBatch.from_arrays([part.column(i).take(pa.array(left)) for i in (0, 1)], names=["a", "b"])
 
 
-FULL = "id long, digest binary, shingles binary, filled long, " + ", ".join(f"{m} long" for m in MASKS)
+FULL = "id long, digest binary, shingles binary, filled long, mask array<long>"
 
 
 def _full_sets(batches):
@@ -158,8 +157,10 @@ def _full_sets(batches):
                 masks.append(np.packbits(bits).view(np.int64))
         masks = np.array(masks, np.int64).reshape(-1, MASK_LONGS)
         filled = np.unpackbits(masks.view(np.uint8), axis=1).sum(axis=1, dtype=np.int64) if len(masks) else []
-        columns = [batch.column(0), pa.array(digests, pa.binary()), pa.array(sets, pa.binary()), pa.array(filled, pa.int64()), *map(pa.array, masks.T)]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "shingles", "filled", *MASKS])
+        ends = pa.array(np.arange(len(masks) + 1) * MASK_LONGS, pa.int32())
+        columns = [batch.column(0), pa.array(digests, pa.binary()), pa.array(sets, pa.binary()), pa.array(filled, pa.int64())]
+        mask = pa.ListArray.from_arrays(ends, pa.array(masks.ravel()))
+        yield pa.RecordBatch.from_arrays([*columns, mask], names=["id", "digest", "shingles", "filled", "mask"])
 
 
 def _may_link() -> Column:
@@ -169,7 +170,8 @@ def _may_link() -> Column:
     many as one side's shingles beyond its bits, at most. So no link is lost to the masks.
     """
     over, under = THRESHOLD
-    common = sum((F.bit_count(F.col(m).bitwiseAND(F.col(f"p_{m}"))) for m in MASKS[1:]), F.bit_count(F.col("m0").bitwiseAND(F.col("p_m0"))))
+    both = F.zip_with("mask", "p_mask", lambda x, y: F.bit_count(x.bitwiseAND(y)))
+    common = F.aggregate(both, F.lit(0), lambda total, x: total + x)
     shared = F.least(common + F.least(F.col("size") - F.col("filled"), F.col("p_size") - F.col("p_filled")), "size", "p_size")
     differ = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(f"p_{b}"))) for b in ("bits0", "bits1"))
     return (shared * under >= (F.col("size") + F.col("p_size") - shared) * over) & (differ <= HASHES - least_bits())
@@ -240,7 +242,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
             outside = outside.join(done, ["bucket", "id"], "left_anti")
         order = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
         pivots = outside.withColumn("k", order).where(F.col("k") <= F.ceil(F.lit(ROUND_PAIRS) / F.col("n")))
-        names = {"id": "pivot", "component": "own"} | {c: f"p_{c}" for c in ("size", "filled", "bits0", "bits1", *MASKS)}
+        names = {"id": "pivot", "component": "own"} | {c: f"p_{c}" for c in ("size", "filled", "bits0", "bits1", "mask")}
         pivots = stored(pivots.select("bucket", *(F.col(c).alias(name) for c, name in names.items())), "pivots")
         if pivots.isEmpty():
             break
