@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from popscope.llm.common import small, stored
 from popscope.llm.shingles import text_blocks
 
 UNKNOWN = "und"
@@ -187,6 +188,10 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
     narrow = docs.select(F.col(id).alias("doc_id"), F.col(lang).alias("lang"))
     narrow = narrow.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     hashed = narrow.distinct().withColumn("h", F.xxhash64("doc_id"))
+    # Of a frequent language only small hashes can be among the first; the others need not meet.
+    rows = stored(hashed.groupBy(F.col("lang").alias("of")).count(), "languages")
+    bound = F.least(F.lit(1.0), F.lit(4.0 * DOCS) / F.col("count")) * float(1 << 63) * 2 - float(1 << 63)
+    hashed = hashed.join(small(rows), F.col("lang") == F.col("of")).where(F.col("h") <= bound).select("doc_id", "lang", "h")
     ranked = hashed.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
     chosen = ranked.where(F.col("k") <= DOCS).orderBy("k", "lang").limit(SAMPLE // PIECES)
     # At most SAMPLE / PIECES rows of an id and a language.
