@@ -5,10 +5,11 @@ from popscope.operators.encode import encode_passages, encode_queries, encode_qu
 from popscope.operators.filtering import count_matching, matching
 from popscope.operators.lookup import duplicate_ids, get_by_id, get_by_ids
 from popscope.operators.profile import describe_filters
-from popscope.operators.sampling import panel, sample
+from popscope.operators.sampling import panel, panel_late, sample, sample_late
 from popscope.operators.search import (
     hydrate,
     search,
+    search_late,
     vector_scores,
     vector_topk,
     vector_topk_batch,
@@ -16,7 +17,6 @@ from popscope.operators.search import (
 from popscope.operators.stats import stats
 from popscope.plans.first_rows import first_rows
 from popscope.plans.index_build import BuildReport, build_index
-from popscope.plans.late_rows import panel_late, sample_late, search_late
 from popscope.settings import SETTINGS
 from popscope.shipping import ship_package
 from popscope.sources.population import (
@@ -24,6 +24,7 @@ from popscope.sources.population import (
     dataset_inventory,
     open_population,
     rows_as_json,
+    table_inventory,
     write_json,
 )
 from popscope.sources.vector_index import IndexMissingError, index_info, open_index

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+PAIRS = 8192  # pairs scored exactly at a time
 SLICE_ROWS = 1024  # rows scored at a time, so that a slice stays in the CPU cache
 
 
@@ -107,7 +108,10 @@ def best_pairs(queries: pa.Table, batches, dim: int, k: int, cosine: bool) -> It
         query_at, row_at = np.nonzero(~(rough < (bar - slack)[:, None]))
         if not len(row_at):
             continue
-        values = dots(rows[row_at], wanted[query_at])
+        values = np.empty(len(row_at))
+        for start in range(0, len(row_at), PAIRS):  # each pair takes two copies of a vector
+            part = slice(start, start + PAIRS)
+            values[part] = dots(rows[row_at[part]], wanted[query_at[part]])
         found = pa.table({"query": query_at, "id": ids.take(pa.array(row_at)), "score": values})
         found = found.filter(pa.array(~np.isnan(values)))
         kept = _best_per_query(found if kept is None else pa.concat_tables([kept, found]), k)

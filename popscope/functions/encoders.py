@@ -1,6 +1,6 @@
 """Text encoders: a batch of strings in, one float vector per string out.
 
-An encoder is any picklable object with ``dim``, ``batch_size``,
+An encoder is any picklable object with ``name``, ``dim``, ``batch_size``,
 ``passage_prefix``, ``query_prefix`` and ``encode(texts)``, which returns a
 float32 matrix with one unit-length row per text. It is shipped to the tasks, so a
 model should be loaded on the first call in a worker and not in the constructor.
@@ -16,6 +16,7 @@ import numpy as np
 
 
 class Encoder(Protocol):
+    name: str  # of the model and its version: vectors of different names are never mixed
     dim: int
     batch_size: int
     passage_prefix: str
@@ -32,6 +33,7 @@ class NgramEncoder:
     meaning. Whole texts are encoded. A text without a trigram gives zeros.
     """
 
+    name: str = "hashed trigrams 1"
     # Width, batch size and prefixes of the index format.
     dim: int = 384
     batch_size: int = 32
@@ -39,12 +41,14 @@ class NgramEncoder:
     query_prefix: str = "query: "
 
     def encode(self, texts: Sequence[str]) -> np.ndarray:
-        counts = np.zeros((len(texts), self.dim))
-        for row, text in enumerate(texts):
-            points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
-            mixed = points[:-2] * 7919 + points[1:-1] * 104729 + points[2:] * 1299709
-            bucket = mixed % 1000003 % self.dim
-            sign = 1 - 2 * (mixed // 1000003 % 2)
-            counts[row] = np.bincount(bucket, weights=sign, minlength=self.dim)
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        row = np.repeat(np.arange(len(texts)), lengths)
+        inside = row[:-2] == row[2:]  # trigrams that lie within one text
+        mixed = (points[:-2] * 7919 + points[1:-1] * 104729 + points[2:] * 1299709)[inside]
+        bucket = mixed % 1000003 % self.dim
+        sign = 1 - 2 * (mixed // 1000003 % 2)
+        place = row[:-2][inside] * self.dim + bucket
+        counts = np.bincount(place, weights=sign, minlength=len(texts) * self.dim).reshape(len(texts), self.dim)
         norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
         return np.divide(counts, norms, out=counts, where=norms > 0).astype(np.float32)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,13 +16,10 @@ def decade_label(column: Column, suffix: str = "") -> Column:
     return F.concat(decade(column).cast("string"), F.lit(suffix))
 
 
-def random_key(id_column: Column, seed: int | None, tag: str = "") -> Column:
-    """A random ordering key.
+def random_key(id_columns: Sequence[str], seed: int, tag: str = "") -> Column:
+    """A random ordering key, in hex: a hash of seed, tag and id.
 
-    With a seed it is a hash of (seed, tag, id): the same rows come out whatever
-    the partitioning, and two tags give independent orders. Without, it is random.
+    The same rows come out whatever the partitioning, and two tags give independent orders.
     """
-    if seed is None:
-        return F.rand()
-    prefix = f"{seed}:{tag}:" if tag else f"{seed}:"
-    return F.md5(F.concat(F.lit(prefix), id_column.cast("string")))
+    parts = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in id_columns]
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *([F.lit(tag)] if tag else []), *parts))

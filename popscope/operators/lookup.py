@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from popscope.operators.filtering import matching
 from popscope.spec import PopulationSpec
 
-# Up to this many ids are compared in the scan, where the Parquet reader can skip by them.
-IDS_IN_SCAN = 1_000
-
 
 def get_by_id(population: DataFrame, spec: PopulationSpec, id) -> DataFrame:
     """The row with this id, or no row."""
@@ -27,20 +24,14 @@ def get_by_ids(
 ) -> DataFrame:
     """All rows with these ids that pass the filters, in no particular order.
 
-    ``ids`` is a Python sequence or a one-column DataFrame of any size; for the
-    latter Spark chooses the join from the sizes it finds.
+    ``ids`` is a Python sequence, or a one-column DataFrame of any size. Ids are compared as the
+    population's type; one that is none of that type matches nothing.
     """
+    kind = population.schema[spec.id].dataType
     if not isinstance(ids, DataFrame):
-        ids = list(ids)
-        if not ids:
-            return population.where(F.lit(False))
-        rows = matching(population, spec, filters)
-        if len(ids) <= IDS_IN_SCAN:
-            return rows.where(F.col(spec.id).isin(ids))
-        id_type = population.schema[spec.id].dataType.simpleString()
-        ids = population.sparkSession.createDataFrame([(i,) for i in ids], f"`{spec.id}` {id_type}")
-    else:
-        rows = matching(population, spec, filters)
+        ids = population.sparkSession.createDataFrame([(None if i is None else str(i),) for i in ids], "id string")
+    ids = ids.toDF(spec.id).select(F.col(spec.id).cast("string").try_cast(kind).alias(spec.id))
+    rows = matching(population, spec, filters)
     # Distinct first: an id that is listed very often must not fill one task of the join.
     return rows.join(ids.toDF(spec.id).distinct(), spec.id, "left_semi")
 

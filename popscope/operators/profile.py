@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popscope.spec import PopulationSpec
 
-LISTED_VALUES = 10  # categories with more values than this give their number only
-
 
 def describe_filters(
-    population: DataFrame, spec: PopulationSpec, listed: int = LISTED_VALUES, exact: bool = True
+    population: DataFrame, spec: PopulationSpec, exact: bool = True
 ) -> DataFrame:
     """One row per filterable column, measured on the data.
 
-    ``name``, ``type``, ``description``, ``allowed_values`` (few values only),
-    ``range_min`` and ``range_max``, ``cardinality`` (categories), ``total_records``,
+    ``name``, ``type``, ``description``, ``allowed_values`` (of columns with
+    ``list_values``), ``range_min`` and ``range_max``, ``cardinality`` (categories), ``total_records``,
     ``data_version``, ``citation``. With ``exact=False`` cardinalities are estimated
     in a single pass and values are listed only where the spec names them.
     """
@@ -31,9 +29,11 @@ def describe_filters(
     entry = F.explode(F.array(*[_entry(role, exact) for role in spec.columns])).alias("entry")
     rows = totals.select(entry, "total_records").select("entry.*", "total_records")
     if exact and categories:
-        # One row per category column, so it may go to every task.
-        found = F.broadcast(_categories(population, categories, listed))
-        rows = rows.drop("cardinality").join(found, "name", "left")
+        listed = [role.name for role in spec.columns if role.kind == "categorical" and role.list_values]
+        found = _categories(population, categories, listed)
+        rows = rows.withColumnRenamed("cardinality", "none").join(found, "name", "left")
+        counted = F.when(F.col("type") == "categorical", F.coalesce("cardinality", F.lit(0)))
+        rows = rows.withColumn("cardinality", counted.cast("long"))
         rows = rows.withColumn("allowed_values", F.coalesce("values", "allowed_values"))
     return rows.select(
         "name", "type", "description", "allowed_values", "range_min", "range_max", "cardinality",
@@ -57,19 +57,16 @@ def _entry(role, exact):
     )
 
 
-def _categories(population: DataFrame, names: list[str], listed: int) -> DataFrame:
-    """``name``, ``cardinality`` and, if few, the sorted ``values`` of each column.
+def _categories(population: DataFrame, names: list[str], listed: list[str]) -> DataFrame:
+    """``name``, ``cardinality`` and the sorted ``values`` of the ``listed`` columns.
 
-    Values are counted per column first, so what is shuffled is distinct values and
-    not rows. At most ``listed + 1`` values per column are ever gathered.
+    Values are counted per column first, so what is shuffled is distinct values and not rows.
+    A column whose values are too many to list should be declared with ``list_values=False``.
     """
     pairs = F.explode(
         F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("string").alias("value")) for n in names])
     )
     values = population.select(pairs.alias("pair")).select("pair.*").where("value IS NOT NULL").distinct()
-    sizes = values.groupBy("name").agg(F.count("value").alias("cardinality"))
-    order = Window.partitionBy("name").orderBy("value")
-    few = values.withColumn("at", F.row_number().over(order)).where(F.col("at") <= listed + 1)
-    lists = few.groupBy("name").agg(F.sort_array(F.collect_list("value")).alias("values"))
-    joined = sizes.join(F.broadcast(lists), "name")
-    return joined.withColumn("values", F.when(F.col("cardinality") <= listed, F.col("values")))
+    shown = F.when(F.col("name").isin(listed), F.col("value"))
+    lists = values.groupBy("name").agg(F.count("value").alias("cardinality"), F.sort_array(F.collect_list(shown)).alias("values"))
+    return lists.withColumn("values", F.when(F.size("values") > 0, F.col("values")))

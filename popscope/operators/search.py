@@ -16,16 +16,15 @@ from popscope.functions.encoders import Encoder
 from popscope.operators.encode import encode_query
 from popscope.operators.filtering import matching
 from popscope.operators.ranking import first_per_group
-from popscope.spec import PopulationSpec
+from popscope.plans.late_rows import FILE, PLACE, read_picked, with_place
+from popscope.plans.lowest import TOP_N
+from popscope.spec import PopulationSpec, checked_count
 
 OVER_FETCH = 10
-# Up to this many query vectors, and numbers in them, are sent to every task.
-# Beyond it, index and queries are cut into cells that meet in a shuffle; a cell
-# holds this many index rows and this many numbers of query vectors (100 MB).
-QUERY_ROWS = 4_096
-QUERY_NUMBERS = 1_000_000
-CELL_ROWS = 65_536
-CELL_NUMBERS = 25_000_000
+# Numbers of query vectors that travel to the tasks at once, as one block; and hits
+# that are broadcast. More queries are more blocks, more hits are left to Spark.
+BLOCK_NUMBERS = 1_000_000
+BROADCAST_HITS = 10_000
 
 
 def vector_scores(index: DataFrame, vector: Sequence[float], metric: str = "dot") -> DataFrame:
@@ -64,80 +63,50 @@ def vector_topk(index: DataFrame, vector: Sequence[float], k: int, metric: str =
     return found.orderBy(F.desc("score"), "id").limit(k)
 
 
-def vector_topk_batch(
-    index: DataFrame,
-    queries: DataFrame,
-    k: int,
-    metric: str = "dot",
-    query_rows: int = QUERY_ROWS,
-    cell_rows: int = CELL_ROWS,
-    cell_numbers: int = CELL_NUMBERS,
-) -> DataFrame:
+def vector_topk_batch(index: DataFrame, queries: DataFrame, k: int, metric: str = "dot", block_numbers: int = BLOCK_NUMBERS) -> DataFrame:
     """The k best index rows of every query (``query_id``, ``vec``).
 
-    Gives ``query_id``, ``id``, ``score`` and ``rank``. Whether the queries are few is
-    found out first. If so they travel to the tasks that scan the index, which is then
-    not shuffled. Otherwise both sides are cut into parts by a hash of the id, and
-    every pair of parts meets in one task of bounded size. Either way a task returns
-    only its own k best rows per query.
+    Gives ``query_id``, ``id``, ``score`` and ``rank``. The queries travel to the tasks that scan
+    the index, in blocks of bounded size; the index is never shuffled. Each block is a pass over the
+    index, and a task returns only its own k best rows per query.
     """
     k, cosine = _checked_k(k), _is_cosine(metric)
     index = index.select("id", "vec")
-    queries = queries.select("query_id", "vec").where(F.col("vec").isNotNull())
-    schema = StructType(
-        [queries.schema["query_id"], index.schema["id"], StructField("score", DoubleType())]
-    )
-    few = queries.limit(query_rows + 1).toArrow().combine_chunks()
-    dim = _width(few.column("vec")[0].as_py()) if few.num_rows else 1
-    if few.num_rows <= min(query_rows, max(QUERY_NUMBERS // dim, 1)):
-
-        def against_all(batches):
-            yield from blocks.best_pairs(few, batches, dim, k, cosine)
-
-        found = index.mapInArrow(against_all, schema)
-    else:
-        parts = -(-queries.count() * dim // cell_numbers) or 1
-        cells = -(-index.count() // cell_rows) or 1
-        found = _cell_pairs(index, queries, parts, cells, dim, k, cosine, schema)
+    schema = StructType([queries.schema["query_id"], index.schema["id"], StructField("score", DoubleType())])
+    found = None
+    for block, dim in _query_blocks(queries.select("query_id", "vec").where(F.col("vec").isNotNull()), block_numbers):
+        part = index.mapInArrow(_against(block, dim, k, cosine), schema)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = index.sparkSession.createDataFrame([], schema)
     return first_per_group(found, ["query_id"], [F.desc("score"), F.asc("id")], k, "rank")
 
 
-def _cell_pairs(index, queries, parts, cells, dim, k, cosine, schema):
-    """Every index cell with every part of the queries, one pair per group."""
-    left = index.select(
-        F.pmod(F.xxhash64("id"), F.lit(cells)).alias("cell"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"),
-        "id",
-        "vec",
-    )
-    right = queries.select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))).alias("cell"),
-        F.pmod(F.xxhash64("query_id"), F.lit(parts)).alias("part"),
-        # Renamed, as queries taken from the index itself share its columns.
-        F.col("query_id").alias("query"),
-        F.col("vec").alias("query_vec"),
-    )
-    block = max(min(QUERY_ROWS, QUERY_NUMBERS // dim), 1)
-    nothing = to_arrow_schema(schema).empty_table()
-
-    def pair(rows: pa.Table, part: pa.Table) -> pa.Table:
-        if not rows.num_rows or not part.num_rows:  # such a side comes without columns
-            return nothing
-        batches, part = rows.select(["id", "vec"]).to_batches(), part.select(["query", "query_vec"])
-        found = []
-        for start in range(0, part.num_rows, block):
-            found += blocks.best_pairs(part.slice(start, block), batches, dim, k, cosine)
-        return pa.Table.from_batches(found) if found else nothing
-
-    grouped = left.groupBy("cell", "part").cogroup(right.groupBy("cell", "part"))
-    return grouped.applyInArrow(pair, schema)
+def _against(block: pa.Table, dim: int, k: int, cosine: bool):
+    def run(batches):
+        yield from blocks.best_pairs(block, batches, dim, k, cosine)
+
+    return run
+
+
+def _query_blocks(queries: DataFrame, numbers: int) -> Iterator[tuple[pa.Table, int]]:
+    """The query vectors, which the driver takes partition by partition, in blocks of ``numbers`` at most."""
+    kinds, held, dim = to_arrow_schema(queries.schema), [], None
+    for row in queries.toLocalIterator():
+        dim = dim or _width(row["vec"])
+        held.append({"query_id": row["query_id"], "vec": row["vec"]})
+        if len(held) * dim >= numbers:
+            yield pa.Table.from_pylist(held, kinds), dim
+            held = []
+    if held:
+        yield pa.Table.from_pylist(held, kinds), dim
 
 
 def hydrate(population: DataFrame, spec: PopulationSpec, hits: DataFrame, bounded: bool = False) -> DataFrame:
     """Population rows of the hits with the hits' other columns added.
 
     Hits whose id is not in the population vanish. ``bounded`` says that the hits
-    come out of a limit, so that they may be sent to every task.
+    come out of a limit of at most ``BROADCAST_HITS``, so that they may be sent to every task.
     """
     hits = hits.withColumnRenamed("id", spec.id)
     return population.join(F.broadcast(hits) if bounded else hits, spec.id)
@@ -153,34 +122,46 @@ def search(
     vector: Sequence[float] | None = None,
     filters: Mapping | None = None,
     over_fetch: int = OVER_FETCH,
-    mode: str = "post",
+    mode: str = "pre",
     metric: str = "dot",
 ) -> DataFrame:
     """The n population rows nearest to a query text or vector, with ``score``.
 
-    ``mode="post"`` ranks first: with filters, the n * over_fetch best are fetched
-    and filtered, which may leave fewer than n. ``mode="pre"`` filters first and
-    always finds n rows if that many match.
+    ``mode="pre"`` filters first and always finds n rows if that many match. ``mode="post"``
+    ranks first: the n * over_fetch best are fetched and filtered, which may leave
+    fewer than n. On a table straight from files, ids are found over narrow columns, and up to
+    ``lowest.TOP_N`` whole rows are then read from their files.
     """
-    n = spec.checked_n(n)
+    n = checked_count(n)
     if (query is None) == (vector is None):
         raise ValueError("give either query or vector")
+    if mode not in ("pre", "post"):
+        raise ValueError(f"mode must be 'post' or 'pre', got {mode!r}")
+    over_fetch = _checked_k(over_fetch, "over_fetch")
     if vector is None:
         if encoder is None:
             raise ValueError("a query text needs an encoder")
         vector = encode_query(query, encoder)
-    rows = matching(population, spec, filters)
+    placed = with_place(population) if n <= TOP_N else None
+    rows = matching(population if placed is None else placed, spec, filters)
+    if placed is not None:
+        rows = rows.select(spec.id, FILE, PLACE)
     if mode == "post":
-        over_fetch = 1 if filters is None else _checked_k(over_fetch, "over_fetch")
-        hits = vector_topk(index, vector, n * over_fetch, metric)
-    elif mode == "pre":
+        k = n * (1 if filters is None else over_fetch)
+        hits = vector_topk(index, vector, k, metric)
+    else:
         # Only ids and scores meet the filtered ids, never vectors.
-        allowed = rows.select(F.col(spec.id).alias("id"))
+        k, allowed = n, rows.select(F.col(spec.id).alias("id"))
         scored = vector_scores(index, vector, metric).join(allowed, "id", "left_semi")
         hits = scored.orderBy(F.desc("score"), "id").limit(n)
-    else:
-        raise ValueError(f"mode must be 'post' or 'pre', got {mode!r}")
-    return hydrate(rows, spec, hits, bounded=True).orderBy(F.desc("score"), spec.id).limit(n)
+    found = hydrate(rows, spec, hits, bounded=k <= BROADCAST_HITS)
+    found = found.orderBy(F.desc("score"), spec.id).limit(n)
+    return found.select(*population.columns, "score") if placed is None else read_picked(population, found.select(FILE, PLACE, "score"))
+
+
+def search_late(population: DataFrame, spec: PopulationSpec, index: DataFrame, n: int, **options) -> DataFrame:
+    """``search``, which reads late by itself; kept for callers of the older name."""
+    return search(population, spec, index, n, **options)
 
 
 def _is_cosine(metric: str) -> bool:

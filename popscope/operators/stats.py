@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popscope.operators.filtering import matching
-from popscope.spec import PopulationSpec
+from popscope.spec import PopulationSpec, checked_count
 
 
 def stats(
@@ -18,11 +18,12 @@ def stats(
     filters: Mapping | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """The largest buckets as ``value``, ``count``; equal counts by value."""
-    limit, dimension = spec.checked_limit(limit), spec.dimension(group_by)
+    """The largest buckets, or all without ``limit``, as ``value``, ``count``; equal counts by value."""
+    dimension = spec.dimension(group_by)
     buckets = (
         matching(population, spec, filters)
         .groupBy(dimension.label().alias("value"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    return buckets.orderBy(F.desc("count"), F.asc_nulls_last("value")).limit(limit)
+    ordered = buckets.orderBy(F.desc("count"), F.asc_nulls_last("value"))
+    return ordered if limit is None else ordered.limit(checked_count(limit, "limit"))

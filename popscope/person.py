@@ -36,14 +36,14 @@ PERSON = PopulationSpec(
     id="uuid",
     schema=PERSON_SCHEMA,
     columns=(
-        categorical("province", "Province or metropolitan city (17)"),
-        categorical("district", "District (252), written <province>-<district>"),
+        categorical("province", "Province or metropolitan city"),
+        categorical("district", "District, written with its province before a hyphen", list_values=False),
         categorical("sex", "Sex", values=SEX, closed=True),
         number_range("age", "Age; filter with age_range: (low, high)", bounds=AGE_RANGE, whole=True),
         categorical("marital_status", "Marital status", values=MARITAL_STATUS),
         categorical("education_level", "Highest education", values=EDUCATION_LEVEL),
         categorical("housing_type", "Housing", values=HOUSING_TYPE),
-        categorical("family_type", "Household form (39)"),
+        categorical("family_type", "Household form"),
         freetext("occupation", "Occupation, free text; filter with occupation_contains"),
     ),
     strata={

@@ -23,9 +23,10 @@ class BuildReport:
     seconds: float
 
 
-def hashed_passages(population: DataFrame, spec: PopulationSpec) -> DataFrame:
-    """``id``, ``text_hash`` and ``text`` of every passage."""
-    return passages(population, spec).select("id", F.md5("text").alias("text_hash"), "text")
+def hashed_passages(population: DataFrame, spec: PopulationSpec, encoder: Encoder) -> DataFrame:
+    """``id``, ``text_hash`` and ``text`` of every passage; the hash also tells encoders apart."""
+    maker = F.lit(f"{encoder.name}\n{encoder.dim}\n{encoder.passage_prefix}\n")
+    return passages(population, spec).select("id", F.md5(F.concat(maker, "text")).alias("text_hash"), "text")
 
 
 def encoded_rows(rows: DataFrame, encoder: Encoder, tasks: int | None = None) -> DataFrame:
@@ -48,7 +49,8 @@ def build_index(
 
     A passage is skipped when its id is already there with the same text, published
     or pending from a run that did not finish; a changed text is encoded again and
-    replaces the old vector. ``limit`` takes the first rows by id. ``force`` encodes
+    replaces the old vector, and so is one that another encoder made. Ids that left the population
+    leave the index. If nothing is to be done, nothing is published. ``limit`` takes the first rows by id. ``force`` encodes
     everything anew, and readers keep the old index until the new one is complete.
 
     A run that dies loses the round it was in. With more than one round the passages
@@ -59,6 +61,7 @@ def build_index(
     started = time.monotonic()
     if population.isEmpty():
         raise ValueError("the population has no rows to index")
+    now = hashed_passages(population, spec, encoder).select("id", "text_hash")
     if limit is not None:
         population = first_rows(population, spec.id, limit)
     store = IndexStore(population.sparkSession, root)
@@ -68,21 +71,23 @@ def build_index(
     pending = None if force else read_if_present(store.spark, pending_path, schema)
 
     done = [part.select("id", "text_hash") for part in (published, pending) if part is not None]
-    todo = _not_done(hashed_passages(population, spec), done, f"{root}/missing-{generation + 1}")
+    todo = _not_done(hashed_passages(population, spec, encoder), done, f"{root}/missing-{generation + 1}")
     encoded = 0
-    for part in _rounds(todo, rounds, f"{root}/todo-{generation + 1}"):
+    for part in _rounds(todo, rounds, f"{root}/todo-{generation + 1}") if todo is not None else ():
         counted = Observation()
         vectors = encoded_rows(part, encoder, tasks).observe(counted, F.count(F.lit(1)).alias("n"))
         mode = "overwrite" if force and not encoded else "append"
         vectors.write.mode(mode).parquet(pending_path)
         encoded += counted.get["n"]
     parts = [part for part in (published, read_if_present(store.spark, pending_path, schema)) if part is not None]
-    store.publish(generation + 1, parts, files)
+    gone = published is not None and not published.join(now, ["id", "text_hash"], "left_anti").isEmpty()
+    if force or encoded or gone or pending is not None or not generation:
+        store.publish(generation + 1, parts, files, now)
     return BuildReport(root, encoded, time.monotonic() - started)
 
 
-def _not_done(texts: DataFrame, done: list[DataFrame], path: str) -> DataFrame:
-    """The passages whose id and text are not in ``done``.
+def _not_done(texts: DataFrame, done: list[DataFrame], path: str) -> DataFrame | None:
+    """The passages whose id and text are not in ``done``; None if there are none.
 
     Only ids and hashes are compared. What is missing is written out, so that its size
     is known when it meets the texts: if it is small, they need no shuffle.
@@ -94,7 +99,7 @@ def _not_done(texts: DataFrame, done: list[DataFrame], path: str) -> DataFrame:
         missing = missing.join(part, ["id", "text_hash"], "left_anti")
     missing.write.mode("overwrite").parquet(path)
     written = texts.sparkSession.read.schema(missing.schema).parquet(path)
-    return texts.join(written, ["id", "text_hash"], "left_semi")
+    return None if written.isEmpty() else texts.join(written, ["id", "text_hash"], "left_semi")
 
 
 def _rounds(todo: DataFrame, rounds: int, path: str) -> Iterator[DataFrame]:

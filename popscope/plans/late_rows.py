@@ -2,76 +2,43 @@
 
 A sample of 20 rows needs the ids and filter columns of the whole table, but the
 long text columns of 20 rows only. So the pick runs over narrow columns and notes
-the file each picked row is in; then those files alone are read in full.
+the file and the place in it of each picked row; then those files alone are read in full.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
-
-from popscope.operators.sampling import panel, sample
-from popscope.operators.search import search
-from popscope.spec import PopulationSpec
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-FILE, POSITION = "_popscope_file", "_popscope_position"
+FILE, PLACE, POSITION = "_popscope_file", "_popscope_place", "_popscope_position"
 
 
-def with_file(population: DataFrame) -> DataFrame:
-    """The population, straight from its Parquet files, with each row's file."""
-    return population.withColumn(FILE, F.col("_metadata.file_path"))
+def with_place(rows: DataFrame) -> DataFrame | None:
+    """``rows`` with each row's file and its number there; None if they are not straight from files."""
+    try:
+        return rows.withColumns({FILE: F.col("_metadata.file_path"), PLACE: F.col("_metadata.row_index")})
+    except AnalysisException:
+        return None
 
 
-def read_picked(population: DataFrame, spec: PopulationSpec, picked: DataFrame) -> DataFrame:
-    """Whole rows of ``picked`` (the id, ``FILE`` and columns to add), in its order.
+def read_picked(population: DataFrame, picked: DataFrame) -> DataFrame:
+    """Whole rows of ``picked`` (``FILE``, ``PLACE`` and columns to add), in its order.
 
-    ``picked`` must end in a limit: its rows come to the driver, to be named in the
-    second scan. There the file paths decide which files are opened at all, and the
-    ids which row groups are read.
+    ``picked`` must end in a limit of at most ``lowest.TOP_N``: its rows come to the driver, to be
+    named in the second scan. There the file paths decide which files are opened at all.
     """
-    added = [field for field in picked.schema.fields if field.name not in (spec.id, FILE)]
+    added = [field for field in picked.schema.fields if field.name not in (FILE, PLACE)]
     rows = picked.collect()
     if not rows:
-        return _nothing(population, added)
-    files, ids = sorted({row[FILE] for row in rows}), [row[spec.id] for row in rows]
-    place = StructType([population.schema[spec.id], *added, StructField(POSITION, LongType())])
-    places = [(row[spec.id], *[row[f.name] for f in added], at) for at, row in enumerate(rows)]
+        empty = population.where(F.lit(False))
+        return empty.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
+    files = sorted({row[FILE] for row in rows})
+    place = StructType([StructField(FILE, StringType()), StructField(PLACE, LongType()), *added, StructField(POSITION, LongType())])
+    places = [(row[FILE], row[PLACE], *[row[f.name] for f in added], at) for at, row in enumerate(rows)]
     local = population.sparkSession.createDataFrame(places, place)
-    found = population.where(F.col("_metadata.file_path").isin(files) & F.col(spec.id).isin(ids))
+    found = with_place(population.where(F.col("_metadata.file_path").isin(files)))
     # As few rows as were picked.
-    return found.join(F.broadcast(local), spec.id).orderBy(POSITION).limit(len(rows)).drop(POSITION)
-
-
-def _nothing(population, added):
-    empty = population.where(F.lit(False))
-    return empty.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
-
-
-def sample_late(
-    population: DataFrame, spec: PopulationSpec, n: int, filters: Mapping | None = None, seed: int | None = None
-) -> DataFrame:
-    """``sample`` for a wide table on files."""
-    picked = sample(with_file(population), spec, n, filters, seed)
-    return read_picked(population, spec, picked.select(spec.id, FILE))
-
-
-def panel_late(
-    population: DataFrame,
-    spec: PopulationSpec,
-    n: int,
-    stratify_by: str | None = None,
-    filters: Mapping | None = None,
-    seed: int | None = None,
-) -> DataFrame:
-    """``panel`` for a wide table on files."""
-    picked = panel(with_file(population), spec, n, stratify_by, filters, seed)
-    return read_picked(population, spec, picked.select(spec.id, FILE))
-
-
-def search_late(population: DataFrame, spec: PopulationSpec, index: DataFrame, n: int, **options) -> DataFrame:
-    """``search`` for a wide table on files; takes the same options."""
-    hits = search(with_file(population), spec, index, n, **options)
-    return read_picked(population, spec, hits.select(spec.id, FILE, "score"))
+    found = found.join(F.broadcast(local), [FILE, PLACE]).orderBy(POSITION).limit(len(rows))
+    return found.select(*population.columns, *[f.name for f in added])

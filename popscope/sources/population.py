@@ -35,11 +35,19 @@ def open_population(spark: SparkSession, path: str, schema: StructType | str | N
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise DatasetMissingError(path) from error
         raise
-    if not rows.inputFiles():
+    if not len(rows._jdf.inputFiles()):  # the names stay in the JVM
         raise DatasetMissingError(path)
     return rows
 
 
+def table_inventory(population: DataFrame) -> DataFrame:
+    """One row: ``rows``, ``files`` and ``bytes`` of a table straight from files."""
+    place = population.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+    files = place.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.max("size").alias("size"))
+    total = lambda name: F.coalesce(F.sum(name), F.lit(0))
+    return files.agg(total("rows").alias("rows"), F.count("file").alias("files"), total("size").alias("bytes"))
+
+
 def dataset_inventory(spark: SparkSession, path: str) -> DataFrame:
     """One row: ``files`` and ``bytes``."""
     try:

@@ -74,8 +74,11 @@ class IndexStore:
         """All columns of a generation; None before the first."""
         return read_if_present(self.spark, self.generation_path(generation), schema) if generation else None
 
-    def publish(self, generation: int, parts: list[DataFrame], files: int | None = None) -> None:
-        """Merge the parts into a generation: the newest vector of each id, by id.
+    def publish(self, generation: int, parts: list[DataFrame], files: int | None = None, now: DataFrame | None = None) -> None:
+        """Merge the parts into a generation: one vector of each id, by id.
+
+        With ``now`` (``id``, ``text_hash`` of today's texts) ids that are not in it leave, and a
+        vector of today's text wins; else, and among several, the newest.
 
         One shuffle: ranges of the id also bring equal ids together for the window.
         """
@@ -83,8 +86,14 @@ class IndexStore:
         for part in parts[1:]:
             rows = rows.unionByName(part)
         ranged = rows.repartitionByRange(*([files] if files else []), F.col("id"))
-        newest = Window.partitionBy("id").orderBy(F.desc("built_at"), F.desc("text_hash"))
-        merged = ranged.withColumn("newest", F.row_number().over(newest)).where("newest = 1").drop("newest")
+        order = [F.desc("built_at"), F.desc("text_hash")]
+        if now is not None:
+            today = now.groupBy("id").agg(F.collect_set("text_hash").alias("today"))
+            ranged = rows.join(today, "id").withColumn("current", F.array_contains("today", F.col("text_hash"))).drop("today")
+            ranged = ranged.repartitionByRange(*([files] if files else []), F.col("id"))
+            order = [F.desc("current"), *order]
+        newest = Window.partitionBy("id").orderBy(*order)
+        merged = ranged.withColumn("newest", F.row_number().over(newest)).where("newest = 1").drop("newest", "current")
         merged.write.mode("overwrite").parquet(self.generation_path(generation))
         log = self.spark.range(1).select(F.lit(generation).cast("long").alias("generation"))
         log.coalesce(1).write.mode("append").parquet(f"{self.root}/published")

@@ -31,6 +31,7 @@ class ColumnRole:
     closed: bool = False  # one value only, refused when not in ``values``
     bounds: tuple | None = None  # widest range a caller may ask for
     whole: bool = False  # range ends must be integers
+    list_values: bool = True  # describe shows all values that occur
     literal: bool = False  # treat % and _ in a search word as plain characters
 
     @property
@@ -65,8 +66,8 @@ class ColumnRole:
         return low, high
 
 
-def categorical(name, description="", values=(), closed=False) -> ColumnRole:
-    return ColumnRole(name, "categorical", description, tuple(values), closed)
+def categorical(name, description="", values=(), closed=False, list_values=True) -> ColumnRole:
+    return ColumnRole(name, "categorical", description, tuple(values), closed, list_values=list_values)
 
 
 def number_range(name, description="", bounds=None, whole=False) -> ColumnRole:
@@ -98,16 +99,13 @@ class Dimension:
 
 @dataclass(frozen=True)
 class PopulationSpec:
-    id: str
+    id: str | tuple[str, ...]  # several columns where only samples and panels are drawn
     columns: tuple[ColumnRole, ...] = ()
     strata: Mapping[str, Dimension] = field(default_factory=dict)
     dimensions: Mapping[str, Dimension] = field(default_factory=dict)
     passage: tuple[str, ...] = ()  # texts joined into the passage to index
     summary: tuple[str, ...] = ()  # sex, age, province, district, occupation or their like
     schema: StructType | None = None
-    max_n: int = 20
-    max_buckets: int = 300
-    default_buckets: int = 50
     data_version: str = ""
     citation: str = ""
 
@@ -128,19 +126,16 @@ class PopulationSpec:
     def dimension(self, name: str) -> Dimension:
         return _pick(self.dimensions, name, "group_by")
 
-    def checked_n(self, n: int) -> int:
-        """``n`` must be a positive whole number; larger than the cap means the cap."""
-        if isinstance(n, bool) or not isinstance(n, int) or n < 1:
-            raise ValueError(f"n must be a positive integer (1-{self.max_n}), got {n!r}")
-        return min(n, self.max_n)
-
-    def checked_limit(self, limit: int | None) -> int:
-        """Bucket limit, brought into the allowed range."""
-        if limit is None:
-            limit = self.default_buckets
-        if isinstance(limit, bool) or not isinstance(limit, int):
-            raise ValueError(f"limit must be an integer, got {limit!r}")
-        return min(max(limit, 1), self.max_buckets)
+    @property
+    def id_columns(self) -> tuple[str, ...]:
+        """The columns that tell rows apart; ``id`` may name one or several."""
+        return (self.id,) if isinstance(self.id, str) else tuple(self.id)
+
+
+def checked_count(n: int, name: str = "n") -> int:
+    if isinstance(n, bool) or not isinstance(n, int) or n < 1:
+        raise ValueError(f"{name} must be a whole number from 1 on, got {n!r}")
+    return n
 
 
 def checked_seed(seed: int | None) -> int | None:

@@ -36,7 +36,7 @@ def start_index_stream(
         .option("pathGlobFilter", file_filter)
         .parquet(source)
     )
-    vectors = encoded_rows(hashed_passages(rows, spec), encoder)
+    vectors = encoded_rows(hashed_passages(rows, spec, encoder), encoder)
     return (
         vectors.writeStream.format("parquet")
         .option("path", f"{root}/stream")

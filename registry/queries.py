@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 import popscope as ps
 from popscope.functions.text import passage_text, row_summary, with_prefix
-from popscope.functions.vectors import dot, l2_normalize
+from popscope.functions.vectors import checked_width, dot, l2_normalize
 from popscope.sources.workspace import shared_folder
 from registry.tables import (
     CONVERSATIONS,
@@ -17,8 +18,10 @@ from registry.tables import (
     DOCUMENTS,
     EVENTS,
     LINEITEM,
+    LINES,
     ORDERS,
     PART,
+    SCHEMAS,
     given_index,
     table,
 )
@@ -151,6 +154,38 @@ def panel_late(spark, sf):
     return ps.panel_late(table(spark, sf, "documents"), DOCUMENTS, 20, "source", {"n_chars_range": (100, 10**9)}, seed=42)
 
 
+@query
+def sample_large(spark, sf):
+    return ps.sample(table(spark, sf, "orders"), ORDERS, 5_000, seed=42)
+
+
+@query
+def sample_larger(spark, sf):
+    """More rows than meet in one task."""
+    return ps.sample(table(spark, sf, "orders"), ORDERS, 12_000, seed=11)
+
+
+@query
+def sample_lineitem(spark, sf):
+    return ps.sample(table(spark, sf, "lineitem"), LINES, 30, {"l_returnflag": ["A", "R"]}, seed=42)
+
+
+@query
+def panel_large(spark, sf):
+    return ps.panel(table(spark, sf, "orders"), ORDERS, 11_000, "priority", seed=42)
+
+
+@query
+def sample_unseeded(spark, sf):
+    """Any thirty rows: how many, how many ids, and how many of them are known."""
+    orders = table(spark, sf, "orders")
+    drawn = ps.sample(orders, ORDERS, 30).select("o_orderkey")
+    known = drawn.join(orders.select("o_orderkey", F.lit(1).alias("there")), "o_orderkey", "left")
+    return known.agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("o_orderkey").alias("ids"), F.count("there").alias("known")
+    )
+
+
 # Distribution
 
 
@@ -175,8 +210,8 @@ def stats_limit(spark, sf):
 
 
 @query
-def stats_limit_clamped(spark, sf):
-    return ps.stats(table(spark, sf, "events"), EVENTS, "user", limit=100_000)
+def stats_all_buckets(spark, sf):
+    return ps.stats(table(spark, sf, "events"), EVENTS, "user")
 
 
 @query
@@ -236,7 +271,34 @@ def rows_as_json(spark, sf):
 
 @query
 def dataset_inventory(spark, sf):
-    return ps.dataset_inventory(spark, sf)
+    """Rows of every table, and whether it has files with anything in them."""
+    found = None
+    for name in SCHEMAS:
+        row = ps.table_inventory(table(spark, sf, name))
+        row = row.select(F.lit(name).alias("name"), "rows", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
+@query
+def dataset_present(spark, sf):
+    """The check that a table is there, and one that is not."""
+    try:
+        ps.open_population(spark, f"{sf}/no-such-table.parquet")
+        missing = False
+    except ps.DatasetMissingError:
+        missing = True
+    return table(spark, sf, "part").agg((F.count(F.lit(1)) > 0).alias("present")).withColumn("missing", F.lit(missing))
+
+
+@query
+def index_guard(spark, sf):
+    """Vectors of the right width, and of a wrong one, as the index guard tells them."""
+    index = given_index(spark, sf)
+    fits = F.size("vec") == 64
+    packed = ps.pack(index.where(fits), 64).select(checked_width(F.col("vec"), 64).alias("vec"))
+    right, wrong = packed.select(F.lit(True).alias("fits")), index.where(~fits).select(F.lit(False).alias("fits"))
+    return right.unionByName(wrong).agg(F.count_if("fits").alias("right"), F.count_if(~F.col("fits")).alias("wrong"))
 
 
 # Vectors
@@ -279,11 +341,18 @@ def vector_topk_batch(spark, sf):
     return hits.select("query_id", "id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
+@query
+def vector_topk_batch_k100(spark, sf):
+    index = given_index(spark, sf)
+    hits = ps.vector_topk_batch(index, _label_centres(spark, sf), 100)
+    return hits.select("query_id", "id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
+
+
 @query
 def vector_topk_batch_cells(spark, sf):
-    """The same through the shuffled form for query sets of any size."""
+    """The same in many small blocks of queries."""
     index = given_index(spark, sf)
-    hits = ps.vector_topk_batch(index, _label_centres(spark, sf), 5, query_rows=1, cell_rows=200, cell_numbers=256)
+    hits = ps.vector_topk_batch(index, _label_centres(spark, sf), 5, block_numbers=100)
     return hits.select("query_id", "id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
@@ -309,7 +378,7 @@ def search_hydrated(spark, sf):
 
 @query
 def search_post_filter(spark, sf):
-    return _search(spark, sf, filters={"lang": "en", "n_chars_range": (500, 1_000_000)})
+    return _search(spark, sf, filters={"lang": "en", "n_chars_range": (500, 1_000_000)}, mode="post")
 
 
 @query
@@ -319,7 +388,7 @@ def search_pre_filter(spark, sf):
 
 @query
 def search_late(spark, sf):
-    return _search(spark, sf, ps.search_late, filters={"lang": "en", "n_chars_range": (500, 1_000_000)})
+    return _search(spark, sf, ps.search_late, filters={"lang": "en", "n_chars_range": (500, 1_000_000)}, mode="post")
 
 
 def _search(spark, sf, search=ps.search, **options):
@@ -373,7 +442,10 @@ def encode_queries_search(spark, sf):
 def _workspace(spark: SparkSession, name: str) -> str:
     try:
         return shared_folder(spark, name)
-    except ValueError:  # no shared folder is named, as in tests
+    except ValueError:
+        # Without a named folder only tasks in this process can share one.
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise
         return tempfile.mkdtemp(prefix=f"popscope-{name}-")
 
 
@@ -403,6 +475,18 @@ def index_build_resume(spark, sf):
     return _index_print(spark, root)
 
 
+@query
+def index_build_changed(spark, sf):
+    """Some texts changed, and changed back after a run that did not publish."""
+    root, documents = _workspace(spark, "changed"), table(spark, sf, "documents")
+    changed = documents.withColumn("text", F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("new "), "text")).otherwise(F.col("text")))
+    ps.build_index(documents, DOCUMENTS, ENCODER, root)
+    ps.build_index(changed, DOCUMENTS, ENCODER, root)
+    ps.build_index(documents.where("doc_id % 5 <> 0"), DOCUMENTS, ENCODER, root)
+    ps.build_index(documents, DOCUMENTS, ENCODER, root)
+    return _index_print(spark, root)
+
+
 @query
 def index_build_subset(spark, sf):
     root = _workspace(spark, "subset")

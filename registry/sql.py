@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from registry.queries import CUSTOMER_IDS, SEARCH_TEXT
+from registry.tables import SCHEMAS
 
 
 def _sample(table, id, seed, n, where="TRUE"):
@@ -17,9 +18,9 @@ def _panel(table, id, stratum, seed, n, where="TRUE"):
         SELECT * EXCLUDE (rn) FROM numbered ORDER BY rn, md5(concat('{seed}:b:', {id})), {id} LIMIT {n}"""
 
 
-def _stats(table, value, limit=50, where="TRUE"):
+def _stats(table, value, limit=None, where="TRUE"):
     return f"""SELECT CAST({value} AS VARCHAR) AS value, count(*) AS count FROM {table} WHERE {where}
-        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {limit}"""
+        GROUP BY 1 ORDER BY 2 DESC, 1 {f"LIMIT {limit}" if limit else ""}"""
 
 
 def _dot(a, b):
@@ -72,6 +73,11 @@ _BATCH = f"""
     SELECT query_id, id, rank, round(score, 6) AS score FROM ranked WHERE rank <= 5"""
 
 
+_INVENTORY = " UNION ALL ".join(
+    f"SELECT '{name}' AS name, count(*) AS rows, TRUE AS has_files, TRUE AS has_bytes FROM {name}" for name in SCHEMAS
+)
+
+
 def _search(hits, where="TRUE", n=10):
     return f"""
         WITH scored AS (SELECT vec_id, {_dot('embedding', _QUERY)} AS s FROM embeddings),
@@ -97,6 +103,15 @@ SQL = {
     "count_matching": """SELECT count(*) AS n FROM orders
         WHERE o_orderstatus IN ('F', 'O') AND o_totalprice BETWEEN 50000 AND 300000""",
     "sample_seeded": _sample("orders", "o_orderkey", 42, 20),
+    "sample_large": _sample("orders", "o_orderkey", 42, 5_000),
+    "sample_larger": _sample("orders", "o_orderkey", 11, 12_000),
+    "sample_lineitem": """SELECT * FROM lineitem WHERE l_returnflag IN ('A', 'R')
+        ORDER BY md5(concat('42:', l_orderkey, ':', l_linenumber)), l_orderkey, l_linenumber LIMIT 30""",
+    "panel_large": _panel("orders", "o_orderkey", "o_orderpriority", 42, 11_000),
+    "sample_unseeded": "SELECT least(30, count(*)) AS rows, least(30, count(*)) AS ids, least(30, count(*)) AS known FROM orders",
+    "dataset_inventory": _INVENTORY,
+    "dataset_present": "SELECT TRUE AS present, TRUE AS missing",
+    "index_guard": "SELECT count(*) FILTER (len(embedding) = 64) AS right, count(*) FILTER (len(embedding) <> 64) AS wrong FROM embeddings",
     "sample_filtered": _sample("part", "p_partkey", 7, 15, "p_type IN ('PROMO', 'SMALL') AND p_size BETWEEN 5 AND 40"),
     "panel_category": _panel("customer", "c_custkey", "c_mktsegment", 42, 17),
     "panel_decade": _panel("part", "p_partkey", "p_size - p_size % 10", 42, 10),
@@ -110,17 +125,18 @@ SQL = {
     "panel_late": _panel("documents", "doc_id", "source", 42, 20, "n_chars BETWEEN 100 AND 1000000000"),
     "stats_category": _stats("part", "p_brand"),
     "stats_decade_label": _stats("part", "(p_size - p_size % 10)::VARCHAR || '대'"),
-    "stats_filtered": _stats("customer", "c_mktsegment", 50, "c_nationkey IN (1, 5, 7) AND c_acctbal BETWEEN 0 AND 5000"),
+    "stats_filtered": _stats("customer", "c_mktsegment", None, "c_nationkey IN (1, 5, 7) AND c_acctbal BETWEEN 0 AND 5000"),
     "stats_limit": _stats("events", "user_id", 5),
-    "stats_limit_clamped": _stats("events", "user_id", 300),
-    "stats_lineitem": _stats("lineitem", "l_returnflag", 50, "l_quantity BETWEEN 10 AND 30"),
+    "stats_all_buckets": _stats("events", "user_id"),
+    "stats_lineitem": _stats("lineitem", "l_returnflag", None, "l_quantity BETWEEN 10 AND 30"),
     "describe_filters": """
         SELECT 'p_type' AS name, 'categorical' AS type, 'Kind of part' AS description,
                string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS allowed_values,
                NULL::DOUBLE AS range_min, NULL::DOUBLE AS range_max,
                count(DISTINCT p_type) AS cardinality, count(*) AS total_records FROM part
         UNION ALL
-        SELECT 'p_brand', 'categorical', 'Brand', NULL, NULL, NULL, count(DISTINCT p_brand), count(*) FROM part
+        SELECT 'p_brand', 'categorical', 'Brand', string_agg(DISTINCT p_brand, ',' ORDER BY p_brand), NULL, NULL,
+               count(DISTINCT p_brand), count(*) FROM part
         UNION ALL
         SELECT 'p_size', 'range', 'Size', NULL, min(p_size)::DOUBLE, max(p_size)::DOUBLE, NULL, count(*) FROM part
         UNION ALL
@@ -150,6 +166,7 @@ SQL = {
         SELECT id, round(s, 6) AS score FROM scored ORDER BY s DESC, id LIMIT 20""",
     "vector_topk_batch": _BATCH,
     "vector_topk_batch_cells": _BATCH,
+    "vector_topk_batch_k100": _BATCH.replace("rank <= 5", "rank <= 100"),
     "search_hydrated": _search("SELECT * FROM scored ORDER BY s DESC, vec_id LIMIT 10"),
     "search_post_filter": _search("SELECT * FROM scored ORDER BY s DESC, vec_id LIMIT 100", _FILTER),
     "search_late": _search("SELECT * FROM scored ORDER BY s DESC, vec_id LIMIT 100", _FILTER),
@@ -175,6 +192,7 @@ SQL = {
     "index_build_resume": f"WITH {_encoded(_DOCUMENTS)} {_PRINT}",
     "index_build_force": f"WITH {_encoded(_DOCUMENTS)} {_PRINT}",
     "index_build_stream": f"WITH {_encoded(_DOCUMENTS)} {_PRINT}",
+    "index_build_changed": f"WITH {_encoded(_DOCUMENTS)} {_PRINT}",
     "index_build_subset": f"WITH {_encoded(_DOCUMENTS + ' ORDER BY doc_id LIMIT 150')} {_PRINT}",
     "index_info": "SELECT TRUE AS exists, count(*) AS rows, TRUE AS has_bytes FROM documents",
 }

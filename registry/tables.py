@@ -62,6 +62,9 @@ LINEITEM = PopulationSpec(
     dimensions={"flag": Dimension("l_returnflag"), "line": Dimension("l_linenumber", decades=True)},
 )
 
+# Its rows are told apart by two columns.
+LINES = PopulationSpec(id=("l_orderkey", "l_linenumber"), columns=LINEITEM.columns)
+
 DOCUMENTS = PopulationSpec(
     id="doc_id",
     columns=(

@@ -156,7 +156,7 @@ def test_failed_publishing_is_repeated(spark, people, tmp_path):
     """All is encoded and half a generation written, but not published."""
     root = str(tmp_path / "index")
     store = IndexStore(spark, root)
-    rows = encoded_rows(hashed_passages(people, PERSON), ENCODER)
+    rows = encoded_rows(hashed_passages(people, PERSON, ENCODER), ENCODER)
     rows.write.parquet(store.pending_path(1))
     rows.limit(10).write.parquet(store.generation_path(1))
     assert build_index(people, PERSON, Failing(dim=48), root).encoded == 0
@@ -174,6 +174,40 @@ def test_changed_text_replaces_the_vector(spark, people, tmp_path):
     assert stored(spark, root) == expected(changed)
 
 
+def test_an_idle_build_writes_nothing(spark, people, tmp_path):
+    root = tmp_path / "index"
+    build_index(people, PERSON, ENCODER, str(root))
+    before = sorted(p.name for p in root.iterdir())
+    assert build_index(people, PERSON, ENCODER, str(root)).encoded == 0
+    assert {p for p in (q.name for q in root.iterdir()) if "generation" in p or "pending" in p} <= set(before)
+    assert IndexStore(spark, str(root)).generation() == 1
+
+
+def test_another_encoder_makes_its_own_vectors(spark, people, tmp_path):
+    root = str(tmp_path / "index")
+    build_index(people, PERSON, NgramEncoder(name="old", dim=48), root)
+    assert build_index(people, PERSON, ENCODER, root).encoded == 200
+    assert stored(spark, root) == expected(people)
+
+
+def test_text_changed_back_after_an_interrupted_run(spark, people, tmp_path):
+    root = str(tmp_path / "index")
+    build_index(people, PERSON, ENCODER, root)
+    changed = people.withColumn("persona", F.concat(F.lit("new "), "persona")).where("age < 40")
+    rows = encoded_rows(hashed_passages(changed, PERSON, ENCODER), ENCODER)
+    rows.write.parquet(IndexStore(spark, root).pending_path(2))
+    assert build_index(people, PERSON, ENCODER, root).encoded == 0
+    assert stored(spark, root) == expected(people)
+
+
+def test_ids_that_left_the_population_leave_the_index(spark, people, tmp_path):
+    root = str(tmp_path / "index")
+    build_index(people, PERSON, ENCODER, root)
+    fewer = people.where("age < 70")
+    assert build_index(fewer, PERSON, ENCODER, root).encoded == 0
+    assert stored(spark, root) == expected(fewer)
+
+
 def test_force_encodes_everything(spark, people, tmp_path):
     root = str(tmp_path / "index")
     build_index(people, PERSON, ENCODER, root)

@@ -7,6 +7,8 @@ from check_queries import compare, connect
 from conftest import TESTDATA
 
 from __spark_entry__ import entry, oracle_sql, queries
+from registry.queries import QUERIES
+from registry.sql import SQL
 
 
 @pytest.fixture(scope="module")
@@ -14,14 +16,14 @@ def con():
     return connect(TESTDATA)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert compare(spark, con, TESTDATA, name) is None
 
 
 def test_sql_belongs_to_queries():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"dataset_inventory"}
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from popscope import Dimension, PopulationSpec, first_rows, panel, panel_late, sample, sample_late
 from popscope.person import PERSON
+from popscope.plans.lowest import lowest
 from popscope.sources.population import open_population
 
-SKEWED = PopulationSpec(id="id", strata={"group": Dimension("group")}, max_n=20)
+SKEWED = PopulationSpec(id="id", strata={"group": Dimension("group")})
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +31,7 @@ def test_sample_size_and_rows(people):
     assert len(set(found)) == 15
     few = sample(people, PERSON, 20, {"province": "서울", "age_range": (30, 33)}, seed=1)
     assert few.count() == people.where("province = '서울' AND age BETWEEN 30 AND 33").count() > 0
-    assert sample(people, PERSON, 500, seed=1).count() == 20
+    assert sample(people, PERSON, 150, seed=1).count() == 150 and sample(people, PERSON, 500, seed=1).count() == 200
     assert sample(people, PERSON, 5).count() == 5
     assert sample(people, PERSON, 5, {"province": "none"}).count() == 0
     assert sample(people, PERSON, 5, seed=1).columns == people.columns
@@ -94,6 +95,32 @@ def test_small_strata_have_a_fair_chance(skewed):
     assert wins <= 10  # between 2 and 3 expected
 
 
+def test_large_n_is_the_same_in_bounded_tasks(skewed, monkeypatch):
+    small = {n: (sample(skewed, SKEWED, n, seed=4).collect(), panel(skewed, SKEWED, n, "group", seed=4).collect()) for n in (30, 700, 5000)}
+    for module in ("popscope.plans.lowest", "popscope.operators.sampling"):
+        monkeypatch.setattr(f"{module}.TOP_N", 5)
+    monkeypatch.setattr(lowest, "__defaults__", (5,))
+    for n, (rows, spread) in small.items():
+        assert sample(skewed, SKEWED, n, seed=4).collect() == rows and len(rows) == min(n, 1001)
+        assert panel(skewed, SKEWED, n, "group", seed=4).collect() == spread and len(spread) == min(n, 1001)
+
+
+def test_null_and_repeated_ids(spark, tmp_path):
+    rows = [(None if i % 10 == 0 else i % 30, i, "g") for i in range(300)]
+    table = spark.createDataFrame(rows, "id long, x long, g string").repartition(4)
+    table.write.parquet(str(tmp_path / "t"))
+    stored = open_population(spark, str(tmp_path / "t"))
+    shared = PopulationSpec(id="id", strata={"g": Dimension("g")})
+    both = PopulationSpec(id=("id", "x"))
+    for n in (12, 250):
+        for rows in (sample(stored, shared, n, seed=3), sample(table, shared, n, seed=3), panel(stored, shared, n, "g", seed=3)):
+            found = [r["x"] for r in rows.collect()]
+            assert len(found) == len(set(found)) == n
+    drawn = [sum(r["id"] is None for r in sample(stored, both, 30, seed=s).collect()) for s in range(12)]
+    assert 0 < sum(drawn) < 12 * 8  # a tenth of the rows has no id
+    assert sample(stored, both, 30, seed=3).collect() == sample(table, both, 30, seed=3).collect()
+
+
 def test_panel_plan(skewed):
     plan = panel(skewed, SKEWED, 5, "group", seed=1)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 4 and "TakeOrderedAndProject" in plan
@@ -106,10 +133,10 @@ def test_late_rows_open_only_the_files_they_need(spark, people, tmp_path):
     path = str(tmp_path / "people")
     people.repartition(12).write.parquet(path)
     stored = open_population(spark, path)
-    wanted = sample(stored, PERSON, 3, {"sex": "남자"}, seed=9).collect()
+    wanted = sample(people, PERSON, 3, {"sex": "남자"}, seed=9).collect()
     late = sample_late(stored, PERSON, 3, {"sex": "남자"}, seed=9)
     assert late.collect() == wanted
-    assert panel_late(stored, PERSON, 9, "province", seed=2).collect() == panel(stored, PERSON, 9, "province", seed=2).collect()
+    assert panel_late(stored, PERSON, 9, "province", seed=2).collect() == panel(people, PERSON, 9, "province", seed=2).collect()
     assert sample_late(stored, PERSON, 3, {"province": "none"}).collect() == []
     # The other files are not read any more, so it does not matter that they break.
     needed = {r["f"] for r in stored.where(F.col("uuid").isin([r["uuid"] for r in wanted]))
@@ -134,6 +161,10 @@ def test_first_rows(spark, n):
         assert sorted(ids(first_rows(table, "id", n, one_task, ranges), "id")) == expected
     same = table.withColumn("id", F.lit(5))
     assert first_rows(same, "id", n, 20, 4).count() == min(n, 500)
+    some = table.withColumn("id", F.when(F.col("id") % 3 > 0, F.col("id") % 100))
+    found = ids(first_rows(some, "id", n, 20, 4), "id")
+    wanted = sorted((r["id"] for r in some.collect()), key=lambda i: (i is None, i or 0))[:n]
+    assert sorted(found, key=lambda i: (i is None, i or 0)) == wanted
 
 
 def test_first_rows_refuses_nonsense(spark):

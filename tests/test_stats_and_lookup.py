@@ -10,6 +10,7 @@ from popscope import (
     DatasetMissingError,
     Dimension,
     PopulationSpec,
+    categorical,
     dataset_inventory,
     describe_filters,
     duplicate_ids,
@@ -47,9 +48,9 @@ def test_decade_labels(people):
 def test_bucket_limit(spark):
     spec = PopulationSpec(id="id", dimensions={"id": Dimension("id")})
     table = spark.range(400)
-    sizes = {limit: stats(table, spec, "id", limit=limit).count() for limit in (None, 0, -5, 7, 300, 5000)}
-    assert sizes == {None: 50, 0: 1, -5: 1, 7: 7, 300: 300, 5000: 300}
-    for limit in (2.5, "3", True):
+    sizes = {limit: stats(table, spec, "id", limit=limit).count() for limit in (None, 7, 300, 5000)}
+    assert sizes == {None: 400, 7: 7, 300: 300, 5000: 400}
+    for limit in (2.5, "3", True, 0, -5):
         with pytest.raises(ValueError):
             stats(table, spec, "id", limit=limit)
     with pytest.raises(ValueError):
@@ -70,6 +71,11 @@ def test_lookup(spark, people):
     assert sorted(r["uuid"] for r in get_by_ids(people, PERSON, table).collect()) == sorted(wanted[:10])
     many = wanted + [f"missing {i}" for i in range(2000)]
     assert get_by_ids(people, PERSON, many).count() == 10
+    # Ids of another type are compared as the column's, however many they are.
+    numbers = spark.range(300).withColumn("x", F.lit(1))
+    spec = PopulationSpec(id="id")
+    assert get_by_ids(numbers, spec, ["5", 6, "x", None]).count() == 2
+    assert get_by_ids(numbers, spec, [str(i) for i in range(2000)]).count() == 300
 
 
 def test_duplicate_ids(people):
@@ -82,7 +88,8 @@ def test_describe(people):
     found = {r["name"]: r for r in describe_filters(people, PERSON).collect()}
     assert list(found) == [role.name for role in PERSON.columns] or set(found) == {r.name for r in PERSON.columns}
     assert found["sex"]["allowed_values"] == ["남자", "여자"] and found["sex"]["cardinality"] == 2
-    assert found["family_type"]["allowed_values"] is None and found["family_type"]["cardinality"] == 39
+    assert len(found["family_type"]["allowed_values"]) == found["family_type"]["cardinality"] == 39
+    assert found["district"]["allowed_values"] is None and found["district"]["cardinality"] == 15
     assert (found["age"]["range_min"], found["age"]["range_max"]) == (19, 99)
     assert found["occupation"]["type"] == "freetext" and found["occupation"]["cardinality"] is None
     assert {r["total_records"] for r in found.values()} == {200}
@@ -92,12 +99,19 @@ def test_describe(people):
     assert describe_filters(people, PERSON).schema == describe_filters(people, PERSON, exact=False).schema
 
 
+def test_describe_of_a_column_without_values(spark):
+    table = spark.range(3).withColumn("c", F.lit(None).cast("string"))
+    spec = PopulationSpec(id="id", columns=(categorical("c"),))
+    assert [(r["cardinality"], r["allowed_values"]) for r in describe_filters(table, spec).collect()] == [(0, None)]
+
+
 def test_describe_reads_categories_once(people, spark, tmp_path):
     path = str(tmp_path / "people")
     people.write.parquet(path)
     rows = describe_filters(open_population(spark, path), PERSON)
     rows.collect()
-    assert "Reused" in rows._jdf.queryExecution().executedPlan().toString()
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("FileScan") == 2  # the totals and the categories
 
 
 def test_summary_and_passage(spark):

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import math
+import subprocess
+import sys
 
 import numpy as np
 import pytest
+from conftest import ROOT
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
@@ -71,8 +74,7 @@ def test_cosine(index, vectors):
     assert jvm == pytest.approx(wanted, abs=1e-12)
 
 
-@pytest.mark.parametrize("options", [{}, {"query_rows": 3}, {"query_rows": 3, "cell_rows": 50, "cell_numbers": 240},
-                                     {"query_rows": 3, "cell_rows": 100, "cell_numbers": 24}])
+@pytest.mark.parametrize("options", [{}, {"block_numbers": 1}, {"block_numbers": 240}])
 @pytest.mark.parametrize("packed", [False, True])
 def test_batch_is_exact(spark, index, vectors, options, packed):
     queries = spark.createDataFrame([(f"q{i}", v) for i, v in enumerate(vectors[95:125])] + [("none", None)],
@@ -85,11 +87,32 @@ def test_batch_is_exact(spark, index, vectors, options, packed):
     assert got == {f"q{i}": expected(vectors, v, 4) for i, v in enumerate(vectors[95:125])}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "CoGroup" not in plan and "Generate" not in plan  # the index is not copied or dealt anew
+
+
+def test_many_queries_in_bounded_memory():
+    """A worker's share: the most queries of a block, k = 100, and rows that tie."""
+    code = """
+import resource, numpy as np, pyarrow as pa
+from popscope.functions import blocks
+rng = np.random.default_rng(0)
+queries = pa.table({"query_id": np.arange(2604), "vec": blocks.lists(rng.normal(size=(2604, 384)))})
+rows = rng.normal(size=(2000, 384)).astype(np.float32)
+rows[500:900] = rows[500]
+batch = pa.RecordBatch.from_arrays([pa.array(np.arange(2000)), blocks.pack(rows)], names=["id", "vec"])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+found = list(blocks.best_pairs(queries, [batch], 384, 100, False))
+assert sum(b.num_rows for b in found) == 260400
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss) // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, timeout=300)
+    assert out.returncode == 0, out.stderr
+    assert int(out.stdout) < 500
 
 
 def test_batch_with_queries_from_the_index(index, vectors):
     queries = index.where("id < 20").select(F.col("id").alias("query_id"), "vec")
-    for options in ({}, {"query_rows": 3, "cell_rows": 100, "cell_numbers": 240}):
+    for options in ({}, {"block_numbers": 100}):
         found = vector_topk_batch(index, queries, 2, **options).collect()
         wanted = {(q, rank + 1, *hit) for q in range(20) for rank, hit in enumerate(expected(vectors, vectors[q], 2))}
         assert {(r["query_id"], r["rank"], r["id"], r["score"]) for r in found} == wanted
@@ -101,7 +124,7 @@ def test_batch_without_queries_or_index(spark, index):
     some = spark.createDataFrame([(1, [1.0] * 24)], "query_id long, vec array<float>")
     empty = index.where("id < 0")
     assert vector_topk_batch(empty, some, 3).count() == 0
-    assert vector_topk_batch(empty, some, 3, query_rows=0).count() == 0
+    assert vector_topk_batch(empty, some, 3, block_numbers=1).count() == 0
     assert vector_topk(empty, [1.0] * 24, 3).count() == 0
 
 
@@ -177,8 +200,10 @@ def population(spark):
 
 def test_search_keeps_rank_order_and_drops_unknown_ids(population, index, vectors):
     found = search(population, SPEC, index, 20, vector=vectors[0]).collect()
-    wanted = [(i, s) for i, s in expected(vectors, vectors[0], 20) if i < 290]
-    assert [(r["id"], r["score"]) for r in found] == wanted
+    known = [(i, s) for i, s in expected(vectors, vectors[0], 300) if i < 290]
+    assert [(r["id"], r["score"]) for r in found] == known[:20]
+    post = search(population, SPEC, index, 20, vector=vectors[0], mode="post").collect()
+    assert [(r["id"], r["score"]) for r in post] == [(i, s) for i, s in expected(vectors, vectors[0], 20) if i < 290]
     assert all(r["text"] == f"row {r['id']}" for r in found)
 
 
@@ -186,12 +211,12 @@ def test_post_filter_may_starve_and_pre_filter_does_not(population, index, vecto
     filters = {"k": "a"}
     matching = [(i, s) for i, s in expected(vectors, vectors[0], 300) if i < 290 and i % 10 and i % 3 == 0]
     for over_fetch in (1, 2, 10):
-        post = search(population, SPEC, index, 8, vector=vectors[0], filters=filters, over_fetch=over_fetch).collect()
+        post = search(population, SPEC, index, 8, vector=vectors[0], filters=filters, over_fetch=over_fetch, mode="post").collect()
         within = {i for i, _ in expected(vectors, vectors[0], 8 * over_fetch)}
         assert [(r["id"], r["score"]) for r in post] == [m for m in matching if m[0] in within][:8]
-    pre = search(population, SPEC, index, 8, vector=vectors[0], filters=filters, mode="pre").collect()
+    pre = search(population, SPEC, index, 8, vector=vectors[0], filters=filters).collect()
     assert [(r["id"], r["score"]) for r in pre] == matching[:8]
-    starved = search(population, SPEC, index, 8, vector=vectors[0], filters=filters, over_fetch=1).collect()
+    starved = search(population, SPEC, index, 8, vector=vectors[0], filters=filters, over_fetch=1, mode="post").collect()
     assert len(starved) < 8 and starved == pre[: len(starved)]
 
 
