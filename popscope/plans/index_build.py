@@ -20,6 +20,7 @@ from popscope.spec import PopulationSpec
 class BuildReport:
     path: str
     encoded: int  # vectors made by this run
+    rows: int  # vectors in the index now
     seconds: float
 
 
@@ -50,8 +51,9 @@ def build_index(
     A passage is skipped when its id is already there with the same text, published
     or pending from a run that did not finish; a changed text is encoded again and
     replaces the old vector, and so is one that another encoder made. Ids that left the population
-    leave the index. If nothing is to be done, nothing is published. ``limit`` takes the first rows by id. ``force`` encodes
-    everything anew, and readers keep the old index until the new one is complete.
+    leave the index. If nothing is to be done, nothing is published. ``limit`` takes the first
+    rows by id. ``force`` encodes everything anew, and readers keep the old index until the
+    new one is complete.
 
     A run that dies loses the round it was in. With more than one round the passages
     are first written out by round, so that no round reads the population again.
@@ -67,7 +69,7 @@ def build_index(
     store = IndexStore(population.sparkSession, root)
     schema, generation = stored_schema(population.schema[spec.id]), store.generation()
     pending_path = store.pending_path(generation + 1)
-    published = None if force else store.stored(generation, schema)
+    published = None if force else store.stored()
     pending = None if force else read_if_present(store.spark, pending_path, schema)
 
     done = [part.select("id", "text_hash") for part in (published, pending) if part is not None]
@@ -79,11 +81,13 @@ def build_index(
         mode = "overwrite" if force and not encoded else "append"
         vectors.write.mode(mode).parquet(pending_path)
         encoded += counted.get["n"]
-    parts = [part for part in (published, read_if_present(store.spark, pending_path, schema)) if part is not None]
-    gone = published is not None and not published.join(now, ["id", "text_hash"], "left_anti").isEmpty()
-    if force or encoded or gone or pending is not None or not generation:
-        store.publish(generation + 1, parts, files, now)
-    return BuildReport(root, encoded, time.monotonic() - started)
+    added = read_if_present(store.spark, pending_path, schema) if encoded or pending is not None else None
+    if added is None:
+        added = store.spark.createDataFrame([], schema)
+    elif pending is not None:  # of texts that may have changed since
+        added = added.join(now, ["id", "text_hash"], "left_semi")
+    store.publish(added, now.select("id"), files, anew=force)
+    return BuildReport(root, encoded, store.stored().count(), time.monotonic() - started)
 
 
 def _not_done(texts: DataFrame, done: list[DataFrame], path: str) -> DataFrame | None:
@@ -116,4 +120,3 @@ def _rounds(todo: DataFrame, rounds: int, path: str) -> Iterator[DataFrame]:
 
 def _ddl(rows: DataFrame) -> str:
     return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in rows.schema)
-

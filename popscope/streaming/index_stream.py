@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -47,10 +48,19 @@ def start_index_stream(
 
 
 def publish_stream(spark: SparkSession, spec: PopulationSpec, schema: StructType, root: str) -> None:
-    """Merge what the stream has written into a new generation of the index."""
-    store, stored = IndexStore(spark, root), stored_schema(schema[spec.id])
-    generation = store.generation()
-    parts = [store.stored(generation, stored), read_if_present(spark, f"{root}/stream", stored)]
-    parts = [part for part in parts if part is not None]
-    if parts:
-        store.publish(generation + 1, parts)
+    """Add what the stream has written since to the index, as a new generation.
+
+    Of an id the newest row counts. Only ids and times are compared with the index; the
+    vectors that are read are those that go into it.
+    """
+    store = IndexStore(spark, root)
+    rows = read_if_present(spark, f"{root}/stream", stored_schema(schema[spec.id]))
+    if rows is None:
+        return
+    published = store.stored()
+    if published is not None:
+        known = published.select(F.col("id").alias("of"), F.col("built_at").alias("known_at"))
+        latest = rows.groupBy("id").agg(F.max("built_at").alias("built_at"))
+        latest = latest.join(known, (F.col("id") == F.col("of")) & (F.col("known_at") >= F.col("built_at")), "left_anti")
+        rows = rows.join(latest, ["id", "built_at"], "left_semi")
+    store.publish(rows)

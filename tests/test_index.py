@@ -208,6 +208,36 @@ def test_ids_that_left_the_population_leave_the_index(spark, people, tmp_path):
     assert stored(spark, root) == expected(fewer)
 
 
+def test_small_changes_write_little(spark, people, tmp_path):
+    root = tmp_path / "index"
+    build_index(people, PERSON, ENCODER, str(root), files=1)
+    size = lambda g: sum(f.stat().st_size for f in (root / f"generation-{g}").glob("*.parquet"))
+    ids = [r["uuid"] for r in people.select("uuid").orderBy("uuid").limit(6).collect()]
+    rows, held = people, 200
+    for g in (2, 3, 4):  # one text changes, then changes back while an id leaves, then the id returns
+        if g == 2:
+            rows = people.withColumn("persona", F.when(F.col("uuid") == ids[0], "someone else").otherwise(F.col("persona")))
+        else:
+            rows, held = (people.where(F.col("uuid") != ids[1]), 199) if g == 3 else (people, 200)
+        report = build_index(rows, PERSON, ENCODER, str(root), files=1)
+        assert (report.encoded, report.rows) == (1, held)
+        assert IndexStore(spark, str(root)).newest() == (g, 1)
+        assert stored(spark, str(root)) == expected(rows)
+        assert spark.read.parquet(str(root / f"generation-{g}")).count() == 1
+    info = index_info(spark, str(root)).first()
+    assert info["rows"] == 200 and info["bytes"] == sum(map(size, (1, 2, 3, 4)))
+
+
+def test_compaction_makes_a_new_base(spark, people, tmp_path):
+    root = str(tmp_path / "index")
+    build_index(people.where("age < 50"), PERSON, ENCODER, root)
+    build_index(people, PERSON, ENCODER, root)
+    store = IndexStore(spark, root)
+    assert store.newest() == (3, 3)
+    assert stored(spark, root) == expected(people)
+    assert not store.compact()
+
+
 def test_force_encodes_everything(spark, people, tmp_path):
     root = str(tmp_path / "index")
     build_index(people, PERSON, ENCODER, root)
