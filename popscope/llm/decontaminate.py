@@ -38,7 +38,8 @@ AGREE = 0.4  # share of places at which walks of a pair at the largest distance
 RECALL = 0.99
 REPEATS = math.ceil(math.log(1 - RECALL) / math.log(1 - AGREE**SAMPLED))
 BLOCK_WORDS = 2_000_000  # item words that travel with the tasks at once
-WINDOWS = 2048  # windows embedded at once
+WINDOWS = 2048  # windows looked up at once
+WALKED = 1 << 20  # words of walks held at once
 _BLOOM = 20  # bits of a run's hash that are looked up first
 
 
@@ -76,6 +77,15 @@ def walk_keys(windows: np.ndarray, n: int, repeats: int = REPEATS) -> np.ndarray
     draw = np.random.default_rng(n)
     places = draw.integers(0, steps, (repeats, SAMPLED))
     salts = mixed(np.arange(1, steps * repeats + 1, dtype=np.uint64).reshape(steps, repeats))
+    keys, together = np.empty((len(windows), repeats), np.uint64), max(1, WALKED // (steps * repeats))
+    for begin in range(0, len(windows), together):
+        part = slice(begin, begin + together)
+        keys[part] = _walked_keys(windows[part], n, places, salts)
+    return keys
+
+
+def _walked_keys(windows: np.ndarray, n: int, places: np.ndarray, salts: np.ndarray) -> np.ndarray:
+    steps, repeats = salts.shape
     padded = np.concatenate([windows, np.zeros((len(windows), 1), np.uint64)], axis=1)
     rows, at = np.arange(len(windows))[:, None], np.zeros((len(windows), repeats), np.int64)
     walked = np.empty((steps, len(windows), repeats), np.uint64)
