@@ -7,10 +7,11 @@ Windows and items are embedded by random walks (CGK): the walk writes the word i
 then goes on or stays by a random bit of step and word, so that texts few edits apart walk alike
 again soon after each edit, and the edit distance becomes a Hamming distance. Of each walk a few
 places are sampled as the key under which items are looked up; walk and places are drawn anew
-``REPEATS`` times, a number that follows from the target recall. Pairs that share a key are
-verified by their exact edit distance.
+``REPEATS`` times. Pairs that share a key are verified by their exact edit distance. The longer an
+item and the more edits, the less walks agree, so no number of keys finds every pair: the
+windows that share none are verified too, but for those that a neighbour's distance rules out.
 
-Which windows are embedded: only those that can be near. k edits leave at least n + 1 - q - qk of an item's
+Which windows are looked at: only those that can be near. k edits leave at least n + 1 - q - qk of an item's
 q-word runs whole, and none is more than k places off. A window with fewer common runs is
 further away, so passing it over loses nothing.
 
@@ -34,8 +35,8 @@ from popscope.llm.shingles import joined, mixed, text_blocks, word_hashes
 
 ALLOWED = 4  # one edit per so many words of the item
 SAMPLED = 2  # places of a walk that make a key
-AGREE = 0.4  # share of places at which walks of a pair at the largest distance agree, at least
-RECALL = 0.99
+AGREE = 0.4  # share of places at which walks of a pair agree, for items of some 30 words at the largest distance
+RECALL = 0.99  # share of such pairs that share a key; the others are found without
 REPEATS = math.ceil(math.log(1 - RECALL) / math.log(1 - AGREE**SAMPLED))
 BLOCK_WORDS = 2_000_000  # item words that travel with the tasks at once
 WINDOWS = 2048  # windows looked up at once
@@ -135,7 +136,7 @@ class Items:
             self.keys[n] = key.ravel()[order], np.repeat(of, key.shape[1])[order]
 
     def windows(self, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """(text, n, start) of the windows of a block of texts that may be near an item of n words."""
+        """(text, item, start) of the windows of a block of texts that may be near an item, in order."""
         found = [np.zeros((0, 3), np.int64)]
         for q, (keys, items, places, seen) in self.runs.items():
             if len(words) < q:
@@ -162,12 +163,11 @@ class Items:
             k = self.k[item[i]]
             near = (text[i] == text[j]) & (item[i] == item[j]) & (shift[j] - shift[i] <= 2 * k)
             i, j, k = i[near], j[near], k[near]
-            n = self.n[item[i]]
-            most = np.maximum(ends[text[i] + 1] - ends[text[i]] - n, 0)
+            most = np.maximum(ends[text[i] + 1] - ends[text[i]] - self.n[item[i]], 0)
             first, final = np.clip(shift[j] - k, 0, most), np.clip(shift[i] + k, 0, most)
             spread = final - first + 1
             start = np.repeat(first, spread) + _counted(spread)
-            found.append(np.unique(np.stack([np.repeat(text[i], spread), np.repeat(n, spread), start], axis=1), axis=0))
+            found.append(np.unique(np.stack([np.repeat(text[i], spread), np.repeat(item[i], spread), start], axis=1), axis=0))
         return np.unique(np.concatenate(found), axis=0)
 
     def near(self, windows: list[np.ndarray], n: int) -> Iterator[tuple[int, int, int]]:
@@ -188,19 +188,43 @@ class Items:
                 if distance <= self.k[i]:
                     yield begin + w, i, distance
 
+    def nearest(self, i: int, words: np.ndarray, starts: np.ndarray, best: tuple[int, int] | None) -> tuple[int, int] | None:
+        """The least distance of item ``i`` and the first start that has it, among ``starts`` and ``best``; None if none is near.
+
+        One start further changes the distance by 2 at most, so starts that cannot come down to the best are left out.
+        """
+        n, near, at = int(self.n[i]), int(self.k[i]), 0
+        while at < len(starts):
+            start = int(starts[at])
+            distance = edit_distance(self.masks[i], n, words[start : start + n])
+            if distance <= near:
+                best = min(best or (n, 0), (distance, start))
+            off = distance - (best[0] if best else near)
+            at = int(np.searchsorted(starts, start + max(1, (off + 1) // 2)))
+        return best
+
     def found(self, column: pa.Array) -> dict[int, dict[int, tuple[int, int]]]:
         """By row of a text column and item: the least distance and the first start that has it."""
-        waiting = defaultdict(list)
+        waiting, pairs = defaultdict(list), []
         for row, data, offsets in text_blocks(column):
             words, ends = word_hashes(data, offsets)
-            for text, n, start in self.windows(words, ends).tolist():
-                window = words[ends[text] + start : min(ends[text] + start + n, ends[text + 1])]
-                waiting[n].append((row + text, start, window))
+            windows = self.windows(words, ends)
+            text, item, start = windows.T
+            for t, n, s in np.unique(np.stack([text, self.n[item], start], axis=1), axis=0).tolist():
+                waiting[n].append((row + t, s, words[ends[t] + s : min(ends[t] + s + n, ends[t + 1])]))
+            cuts = np.flatnonzero((np.diff(text) != 0) | (np.diff(item) != 0)) + 1
+            for group in np.split(windows, cuts) if len(windows) else []:
+                t, i = group[0, :2].tolist()
+                pairs.append((row + t, i, words[ends[t] : ends[t + 1]], group[:, 2]))
         best = defaultdict(dict)
         for n, held in waiting.items():
             for w, i, distance in self.near([h[2] for h in held], n):
                 row, start, _ = held[w]
                 best[row][i] = min(best[row].get(i, (n, 0)), (distance, start))
+        for row, i, words, starts in pairs:
+            nearest = self.nearest(i, words, starts, best[row].get(i) if row in best else None)
+            if nearest is not None:
+                best[row][i] = nearest
         return best
 
 

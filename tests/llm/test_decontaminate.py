@@ -1,5 +1,8 @@
 import random
 
+import pyarrow as pa
+import pytest
+
 from conftest import TESTDATA
 
 from popscope.llm.common import table
@@ -93,3 +96,18 @@ def test_odd_rows(spark, odd, clashing, empty, make):
 def test_items_fit_words():
     block = Items([1, 2], ["a b c", None])
     assert block.ids == [1] and block.need.tolist() == [2]
+
+
+@pytest.mark.parametrize("n", [15, 60, 100, 200, 400])
+@pytest.mark.parametrize("spread", [True, False])
+def test_all_at_the_largest_distance(n, spread):
+    draw = random.Random(n)
+    items = [[f"i{i}w{draw.randrange(4 * n)}" for _ in range(n)] for i in range(30)]
+    texts = []
+    for item in items:
+        body = list(item)
+        for at in [4 * e + 1 for e in range(n // 4)] if spread else draw.sample(range(n), n // 4):
+            body[at] = f"new{draw.randrange(10**6)}"
+        texts.append(" ".join(["before"] * 3 + body + ["after"] * 2))
+    found = Items(list(range(30)), [" ".join(item) for item in items]).found(pa.array(texts))
+    assert found == {i: {i: (n // 4, 3)} for i in range(30)}
