@@ -3,9 +3,10 @@
 Base spans are regular expressions with checks of their own. They seed a bootstrap: the words
 around a seed are lexical patterns (the two words before it; the word on either side). Looser
 expressions propose further identifiers of the same kinds that no base span touches. Patterns and
-instances form a graph that is scored in rounds: a pattern by the scores of its instances, an
-instance by its best pattern. A pattern counts once it stands by three different trusted instances,
-and an instance is added where its score reaches the threshold.
+instances form a graph that is scored until no score grows: a pattern by the sum of its instances'
+scores over their number and one, an instance by its best pattern. A pattern counts once it stands
+by three different trusted instances, and an instance is added where its score reaches the threshold.
+A pattern that rests on n seeds alone comes to n / (n + 1), so it takes four seeds to reach 0.8.
 
 The expressions of the contract are written without backtracking into what cannot match: a
 lookbehind keeps a failed start from being tried again inside the same run, and repeats that
@@ -22,13 +23,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from popscope.llm.common import stored
+from popscope.llm.common import small, stored
 
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = 60  # characters on either side in which the neighbouring words are looked for
 SUPPORT = 3  # trusted instances that a pattern must stand by
 TRUST = 0.8  # score from which an instance counts as found
-ROUNDS = 3
+GROWTH = 1e-6  # a score that grows by less stands still
 
 
 @dataclass(frozen=True)
@@ -158,17 +159,35 @@ def _bootstrap(candidates: DataFrame) -> DataFrame:
     edges = candidates.select("kind", "instance", "seed", F.explode("patterns").alias("pattern"))
     # Counted before anything else: a pattern or an instance that is everywhere is one row per pair.
     edges = stored(edges.groupBy("kind", "pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
-    seed_score = F.col("seed").cast("double")
-    scores = None
-    for round in range(ROUNDS):
-        if scores is None:
-            scored = edges.withColumn("score", seed_score)
-        else:
-            scored = edges.join(scores, ["kind", "instance"], "left").withColumn("score", F.greatest(seed_score, F.coalesce("score", F.lit(0.0))))
-        trusted = F.count(F.when(F.col("score") >= TRUST, 1))
-        patterns = scored.groupBy("kind", "pattern").agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("score"), trusted.alias("support"))
-        patterns = patterns.where(F.col("support") >= SUPPORT).select("kind", "pattern", "score")
-        found = edges.where("NOT seed").join(patterns, ["kind", "pattern"]).groupBy("kind", "instance").agg(F.max("score").alias("score"))
-        scores = stored(found, f"scores{round}")
-    good = scores.where(F.col("score") >= TRUST).select("kind", "instance")
+    patterns, round = None, 0
+    while patterns is None or not patterns.where(F.col("score") > F.col("was") + GROWTH).isEmpty():
+        patterns, round = stored(_scored(edges, patterns), f"patterns{round}"), round + 1
+    good = _by_best_pattern(edges, patterns).where(F.col("score") >= TRUST).select("kind", "instance")
     return candidates.where("NOT seed").join(good, ["kind", "instance"]).select("row", "start", "kind", "end")
+
+
+def _by_best_pattern(edges: DataFrame, patterns: DataFrame) -> DataFrame:
+    """The instances (kind, instance, score) that patterns find."""
+    by_pattern = edges.where("NOT seed").join(small(patterns.select("kind", "pattern", "score")), ["kind", "pattern"])
+    return by_pattern.groupBy("kind", "instance").agg(F.max("score").alias("score"))
+
+
+def _scored(edges: DataFrame, patterns: DataFrame | None) -> DataFrame:
+    """The patterns that count (kind, pattern, score, was), a round after ``patterns``.
+
+    An instance of a pattern that counts scores as much as the pattern at least. So those that no
+    better pattern finds add to the sum what they add to the number, and are left out of both: the
+    score is that of endless rounds, in as many rounds as patterns hang on better ones.
+    """
+    seed_score = F.col("seed").cast("double")
+    if patterns is None:
+        scored = edges.withColumns({"score": seed_score, "was": F.lit(0.0)})
+    else:
+        last = small(patterns.select("kind", "pattern", F.col("score").alias("was")))
+        scored = edges.join(_by_best_pattern(edges, patterns), ["kind", "instance"], "left").join(last, ["kind", "pattern"], "left")
+        scored = scored.withColumns({"score": F.greatest(seed_score, F.coalesce("score", F.lit(0.0))), "was": F.coalesce("was", F.lit(0.0))})
+    better = F.when(F.col("score") > F.col("was"), F.col("score"))
+    score = F.greatest(F.max("was"), F.coalesce(F.sum(better), F.lit(0.0)) / (F.count(better) + 1))
+    trusted = F.count(F.when(F.col("score") >= TRUST, 1))
+    grouped = scored.groupBy("kind", "pattern").agg(score.alias("score"), F.max("was").alias("was"), trusted.alias("support"))
+    return grouped.where(F.col("support") >= SUPPORT).select("kind", "pattern", "score", "was")

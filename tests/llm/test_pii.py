@@ -91,3 +91,30 @@ def test_odd_rows(clashing, empty):
     rows = find_pii(clashing).collect()
     assert len(rows) == len(ODD_DOCUMENTS) and all(r.spans == "" for r in rows)
     assert find_pii(empty).collect() == []
+
+
+def added_numbers(spark, texts):
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    return {r.doc_id for r in find_pii(docs).collect() if r.added}
+
+
+def test_more_unseen_identifiers_than_seeds(spark):
+    seeds = [f"x{i} please ring +1 (555) 010-{1000 + i} y{i}" for i in range(20)]
+    unseen = [f"x{i} please ring (555) 020-{1000 + i} y{i}" for i in range(60)]
+    assert added_numbers(spark, seeds + unseen) == set(range(20, 80))
+
+
+def test_three_seeds_are_not_enough(spark):
+    for n, found in ((3, set()), (4, {4})):
+        seeds = [f"x{i} please ring +1 (555) 010-{1000 + i} y{i}" for i in range(n)]
+        assert added_numbers(spark, [*seeds, "x please ring (555) 020-1000 y"]) == found
+
+
+def test_a_chain_of_patterns(spark):
+    texts = [f"x{i} hop zero +1 (555) 010-{1000 + i} y{i}" for i in range(60)]
+    names = ["zero", "one", "two", "three", "four", "five"]
+    for hop in range(5):
+        for i in range(40):
+            number = f"(555) 0{20 + hop}-{1000 + i}"
+            texts += [f"x{hop}.{i} hop {names[hop]} {number} y{hop}.{i}", f"v{hop}.{i} hop {names[hop + 1]} {number} w{hop}.{i}"]
+    assert added_numbers(spark, texts) == set(range(60, len(texts)))
