@@ -239,13 +239,19 @@ def identify_languages(docs: DataFrame, **columns) -> DataFrame:
 
 
 def in_a_language(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without those of no known language; all columns stay, and no row leaves its task."""
+    """``docs`` without those of no known language; all columns stay, and no row leaves its task.
+
+    Where there is nothing to learn from, only null texts and texts without a letter go.
+    """
     network, at = fit(docs), docs.columns.index(text)
     names = [f"_{i}" for i in range(len(docs.columns))]
     rows = docs.toDF(*names).withColumn("letter", F.regexp_like(names[at], F.lit(LETTER)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if network is None:
+                yield batch.select(names).filter(batch.column(len(names)))
+                continue
             langs, _ = _labels(network, batch.column(at), batch.column(len(names)))
             yield batch.select(names).filter(pa.array(langs != UNKNOWN))
 

@@ -73,3 +73,9 @@ def test_odd_rows(odd, clashing, empty):
 def test_nothing_to_learn_from(make):
     rows = make("documents", [(1, "a b", None, None, 3)])
     assert [r.lang_pred for r in identify_languages(rows).collect()] == ["und"]
+
+
+def test_unlabelled_table_keeps_its_texts(spark):
+    rows = [(1, "some words", None, "s", 10), (2, None, None, "s", None), (3, "12 34", None, "s", 5), (4, "日本語", None, "s", 3), (5, "", None, "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in in_a_language(docs).collect()} == {1, 4}
