@@ -10,6 +10,7 @@ from popscope.llm.decontaminate import contaminated
 from popscope.llm.fingerprint import edited_fingerprints
 from popscope.llm.interleave import interleave
 from popscope.llm.langid import identify_languages
+from popscope.llm.lexical import ranked
 from popscope.llm.mixing import mix
 from popscope.llm.near_dup import near_duplicates
 from popscope.llm.pii import find_pii
@@ -85,3 +86,8 @@ def op9_interleave(spark, sf):
 @query
 def op10_cgk_decontaminate(spark, sf):
     return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op11_reversed_search(spark, sf):
+    return ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

@@ -87,3 +87,23 @@ SQL = {
                sum(17 + length(role) + length({_escaped('text')}))::BIGINT AS formatted_chars
         FROM turns GROUP BY conv_id""",
 }
+
+_TERMS = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SQL["op11_reversed_search"] = f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS.format('text')} AS terms FROM documents),
+    totals AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms)) AS n_terms FROM d),
+    wanted AS (SELECT item_id, term, count(*) AS repeats
+               FROM (SELECT item_id, unnest({_TERMS.format('text')}) AS term FROM benchmark) GROUP BY item_id, term),
+    tf AS (SELECT r, doc_id, len(terms) AS n, term, count(*) AS tf
+           FROM (SELECT r, doc_id, terms, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM wanted)
+           GROUP BY r, doc_id, len(terms), term),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    scored AS (
+        SELECT item_id, doc_id, r,
+               sum(repeats * floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT
+                   * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS score
+        FROM tf JOIN wanted USING (term) JOIN df USING (term), totals GROUP BY item_id, doc_id, r),
+    ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+               FROM scored WHERE score > 0)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score::BIGINT AS score FROM ranked WHERE rank <= 20"""
