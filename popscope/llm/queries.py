@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from popscope.llm.alignment import alignment
 from popscope.llm.chat import digests, format_conversations
 from popscope.llm.common import scratch, table
 from popscope.llm.decontaminate import contaminated
@@ -91,3 +92,8 @@ def op10_cgk_decontaminate(spark, sf):
 @query
 def op11_reversed_search(spark, sf):
     return ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op12_merge_path_align(spark, sf):
+    return alignment(table(spark, sf, "documents"))

@@ -20,9 +20,11 @@ COLUMNS = {
     "op8": {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string"},
     "op9": {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"},
     "op10": {"doc_id": "bigint", "item_id": "bigint"},
+    "op12": {"doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint", "n_best": "bigint", "count_sum": "bigint",
+             "groups_sha256": "string"},
     "op11": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
 }
-ROWS = {"op1": "pages", "op4": "pages", "op2": "documents", "op3": "documents", "op6": "documents", "op7": "documents", "op8": "documents", "op9": "documents"}
+ROWS = {"op1": "pages", "op4": "pages", "op2": "documents", "op3": "documents", "op6": "documents", "op7": "documents", "op8": "documents", "op9": "documents", "op12": "documents"}
 
 
 def test_all_are_registered():
