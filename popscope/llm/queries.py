@@ -10,6 +10,7 @@ from popscope.llm.common import scratch, table
 from popscope.llm.decontaminate import contaminated
 from popscope.llm.fingerprint import edited_fingerprints
 from popscope.llm.interleave import interleave
+from popscope.llm.jaccard_join import jaccard_components
 from popscope.llm.langid import identify_languages
 from popscope.llm.lexical import ranked
 from popscope.llm.mixing import mix
@@ -97,3 +98,8 @@ def op11_reversed_search(spark, sf):
 @query
 def op12_merge_path_align(spark, sf):
     return alignment(table(spark, sf, "documents"))
+
+
+@query
+def op13_relation_skip_join(spark, sf):
+    return jaccard_components(table(spark, sf, "documents"))

@@ -22,9 +22,10 @@ COLUMNS = {
     "op10": {"doc_id": "bigint", "item_id": "bigint"},
     "op12": {"doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint", "n_best": "bigint", "count_sum": "bigint",
              "groups_sha256": "string"},
+    "op13": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
     "op11": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
 }
-ROWS = {"op1": "pages", "op4": "pages", "op2": "documents", "op3": "documents", "op6": "documents", "op7": "documents", "op8": "documents", "op9": "documents", "op12": "documents"}
+ROWS = {"op1": "pages", "op4": "pages", "op2": "documents", "op3": "documents", "op6": "documents", "op7": "documents", "op8": "documents", "op9": "documents", "op12": "documents", "op13": "documents"}
 
 
 def test_all_are_registered():
