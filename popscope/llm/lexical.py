@@ -7,7 +7,7 @@ repeats, ``df`` per term of an item (documents holding it). A term's weight is
 ``m = 75 + (25 n N) div L``, and its score for an item sums, over the item's terms with repeats,
 ``w * ((10^9 tf) div (1000 tf + 12 m))``. All but the weight is 64-bit integer arithmetic.
 
-The plan: one pass for N and L, one for ``df`` of the items' terms only (a semi-join against
+The plan: the terms of every text are taken once and written; one pass over them for N and L, one for ``df`` of the items' terms only (a semi-join against
 their broadcast list, partial counts before the shuffle), then the scoring pass. The items'
 inverted index (term -> item, weight times repeats) is broadcast after its size is counted; an
 index of more than ``INDEX_ROWS`` entries is cut into blocks of items, each a pass of its own.
@@ -32,6 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from popscope.llm.common import stored
+
 # Fixed values of the contract.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -52,7 +54,8 @@ def weight(n_docs: int, df: int) -> int:
 def ranked(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     """(item_id, rank, doc_id, score) of each item's ``top`` best documents with a score above 0."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), terms(F.col("text")).alias("terms"))
+    # The terms are taken once and written: the three passes below read them, not the texts.
+    docs = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), terms(F.col("text")).alias("terms")), "lexical_terms")
     totals = docs.select(F.size("terms").alias("n")).agg(
         F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")
     ).first()
