@@ -25,6 +25,7 @@ OVER_FETCH = 10
 # that are broadcast. More queries are more blocks, more hits are left to Spark.
 BLOCK_NUMBERS = 1_000_000
 BROADCAST_HITS = 10_000
+GROW = 4  # factor by which an unfiltered search widens its top-k while ids dangle
 
 
 def vector_scores(index: DataFrame, vector: Sequence[float], metric: str = "dot") -> DataFrame:
@@ -102,6 +103,26 @@ def _query_blocks(queries: DataFrame, numbers: int) -> Iterator[tuple[pa.Table,
         yield pa.Table.from_pylist(held, kinds), dim
 
 
+def expanding_topk(index: DataFrame, vector: Sequence[float], n: int, allowed: DataFrame, metric: str = "dot", grow: int = GROW) -> tuple[DataFrame, int]:
+    """(hits, k): the k best index rows, k the first of n, grow n, grow^2 n, ... whose hits hold n allowed ids.
+
+    Each round is one scan of the index in which every task keeps its own k best rows; only if
+    ids of the round dangle (are not among ``allowed``) does the next round look further. The
+    rows of a round are checkpointed, so the count and the later join see the same rows. Ends
+    when n allowed ids are found or the index has fewer than k rows: the n best allowed rows are
+    then among the hits, for every row outside them scores lower (or equal with a larger id).
+    """
+    k = n
+    while True:
+        hits = vector_topk(index, vector, k, metric).checkpoint()
+        found = hits.count()
+        small = found <= BROADCAST_HITS
+        present = allowed.join(F.broadcast(hits) if small else hits, "id", "left_semi").count()
+        if present >= n or found < k:
+            return hits, k
+        k *= grow
+
+
 def hydrate(population: DataFrame, spec: PopulationSpec, hits: DataFrame, bounded: bool = False) -> DataFrame:
     """Population rows of the hits with the hits' other columns added.
 
@@ -127,7 +148,8 @@ def search(
 ) -> DataFrame:
     """The n population rows nearest to a query text or vector, with ``score``.
 
-    ``mode="pre"`` filters first and always finds n rows if that many match. ``mode="post"``
+    ``mode="pre"`` filters first and always finds n rows if that many match; without filters it
+    widens a top-k until n of its ids are in the population (``expanding_topk``). ``mode="post"``
     ranks first: the n * over_fetch best are fetched and filtered, which may leave
     fewer than n. On a table straight from files, ids are found over narrow columns, and up to
     ``lowest.TOP_N`` whole rows are then read from their files.
@@ -149,6 +171,8 @@ def search(
     if mode == "post":
         k = n * (1 if filters is None else over_fetch)
         hits = vector_topk(index, vector, k, metric)
+    elif filters is None:
+        hits, k = expanding_topk(index, vector, n, rows.select(F.col(spec.id).alias("id")), metric)
     else:
         # Only ids and scores meet the filtered ids, never vectors.
         k, allowed = n, rows.select(F.col(spec.id).alias("id"))

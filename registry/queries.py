@@ -373,7 +373,14 @@ def _label_centres(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def search_hydrated(spark, sf):
-    return _search(spark, sf)
+    """Rank, then hydrate: ids that are not in the population leave fewer rows."""
+    return _search(spark, sf, mode="post")
+
+
+@query
+def search_hydrated_all(spark, sf):
+    """The n best rows that are in the population, by a top-k that widens while ids dangle."""
+    return _search(spark, sf, mode="pre")
 
 
 @query

@@ -168,6 +168,7 @@ SQL = {
     "vector_topk_batch_cells": _BATCH,
     "vector_topk_batch_k100": _BATCH.replace("rank <= 5", "rank <= 100"),
     "search_hydrated": _search("SELECT * FROM scored ORDER BY s DESC, vec_id LIMIT 10"),
+    "search_hydrated_all": _search("SELECT * FROM scored"),
     "search_post_filter": _search("SELECT * FROM scored ORDER BY s DESC, vec_id LIMIT 100", _FILTER),
     "search_late": _search("SELECT * FROM scored ORDER BY s DESC, vec_id LIMIT 100", _FILTER),
     "search_pre_filter": _search("SELECT * FROM scored", _FILTER),
