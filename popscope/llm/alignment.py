@@ -40,7 +40,7 @@ from popscope.llm.common import small, stored
 TOKENIZERS = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 PIECE = 4096  # ends merged by one piece of the merge path
-BYTES_PER_BATCH = 8 << 20  # text bytes tokenized at once
+BYTES_PER_BATCH = 1 << 20  # text bytes tokenized, and their rows sent on, at once
 
 
 def _byte_decoder() -> dict[str, int]:
@@ -79,7 +79,8 @@ def tokenizers(folder: str):
             b_bytes[i] = piece.replace("▁", " ").encode("utf-8")
 
     def encode_a(texts):
-        return [e.ids for e in a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        # One text at a time: only its ids are kept, not the whole encodings of a batch.
+        return [a.encode(" " + t, add_special_tokens=False).ids for t in texts]
 
     def encode_b(texts):
         return b.encode(list(texts), num_threads=1)
@@ -144,18 +145,16 @@ def aligned_texts(docs: DataFrame, folder: str = TOKENIZERS, piece: int = PIECE)
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode_a, a_bytes, encode_b, b_bytes = tokenizers(folder)
         for batch in batches:
-            texts = batch["text"].tolist()
-            rows = []
+            texts, ids = batch["text"].tolist(), batch["doc_id"].to_numpy()
             for start, stop in _spans(texts):
                 chunk = [t if isinstance(t, str) and t else "" for t in texts[start:stop]]
                 live = [k for k, t in enumerate(chunk) if t]
                 a_all = dict(zip(live, encode_a([chunk[k] for k in live])))
                 b_all = dict(zip(live, encode_b([chunk[k] for k in live])))
-                for k, text in enumerate(chunk):
-                    rows.append(_aligned(text, a_all.get(k), b_all.get(k), a_bytes, b_bytes, piece))
-            out = pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "link_a", "link_b"])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
+                rows = [_aligned(text, a_all.get(k), b_all.get(k), a_bytes, b_bytes, piece) for k, text in enumerate(chunk)]
+                out = pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "link_a", "link_b"])
+                out.insert(0, "doc_id", ids[start:stop])
+                yield out
 
     schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, link_a array<int>, link_b array<int>"
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInPandas(align, schema)
