@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+from collections.abc import Callable, Iterator
+from functools import wraps
+
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -73,3 +78,21 @@ def positions(rows: DataFrame, keys: list[Column], name: str) -> DataFrame:
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     numbered = placed.join(F.broadcast(offsets), "_part")
     return numbered.select(*rows.columns, (F.col("_before") + F.col("_at")).alias("position"))
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for ``mapInArrow``, giving back Python's and Arrow's free memory when its task ends.
+
+    Python workers are reused between tasks; without this an idle worker keeps its largest
+    arrays and Arrow's pool keeps its buffers while the next stage runs beside it.
+    """
+
+    @wraps(run)
+    def freeing(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+
+    return freeing

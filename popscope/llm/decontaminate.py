@@ -40,7 +40,7 @@ RECALL = 0.99  # share of such pairs that share a key; the others are found with
 REPEATS = math.ceil(math.log(1 - RECALL) / math.log(1 - AGREE**SAMPLED))
 BLOCK_WORDS = 2_000_000  # item words that travel with the tasks at once
 WINDOWS = 2048  # windows looked up at once
-WALKED = 1 << 20  # words of walks held at once
+WALKED = 1 << 18  # words of walks held at once
 _BLOOM = 20  # bits of a run's hash that are looked up first
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from popscope.llm.common import small, stored
+from popscope.llm.common import released, small, stored
 from popscope.llm.shingles import text_blocks
 
 UNKNOWN = "und"
@@ -29,7 +29,7 @@ DOCS, PIECES, SAMPLE = 300, 3, 12_000  # of the training sample: documents per l
 HIDDEN = 8
 PIECE = 64  # bytes of a training piece
 SEGMENT = 128  # bytes that the trained network reads in one go
-TOGETHER = 4096  # segments read side by side
+TOGETHER = 512  # segments read side by side (state arrays of about 2 MB each)
 PAD = 256
 STEPS, BATCH, RATE = 400, 64, 0.02
 LETTER = r"\p{L}"
@@ -222,6 +222,7 @@ def _labels(network: Network | None, texts: pa.Array, has_letter: pa.Array) -> t
 def predict(docs: DataFrame, network: Network | None, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = _labels(network, batch.column(2), batch.column(3))
@@ -247,6 +248,7 @@ def in_a_language(docs: DataFrame, text: str = "text") -> DataFrame:
     names = [f"_{i}" for i in range(len(docs.columns))]
     rows = docs.toDF(*names).withColumn("letter", F.regexp_like(names[at], F.lit(LETTER)))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if network is None:

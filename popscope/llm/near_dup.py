@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from popscope.llm.common import small, stored
+from popscope.llm.common import released, small, stored
 from popscope.llm.components import components, joined_labels, relabelled
 from popscope.llm.shingles import mixed, text_blocks, text_shingles, word_hashes
 
@@ -91,6 +91,7 @@ def least_bits(threshold: float = THRESHOLD[0] / THRESHOLD[1], miss: float = MIS
 SETS = "doc_id {id}, n_shingles long, digest binary, signature binary, bits0 long, bits1 long"
 
 
+@released
 def _sets(batches):
     """Shingle count, digest of the set, signature and the lowest bits of its values, of every text."""
     for batch in batches:
@@ -110,6 +111,7 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([*arrays, pa.array(bits[:, 0]), pa.array(bits[:, 1])], names=names)
 
 
+@released
 def _buckets(batches):
     """(bucket, id) for every band of every signature."""
     salt = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
@@ -124,6 +126,7 @@ def _buckets(batches):
             yield pa.RecordBatch.from_pydict({"bucket": key.reshape(-1).view(np.int64), "id": ids})
 
 
+@released
 def _plausible(batches):
     """The pairs that no batch of the signatures speaks against."""
     least = least_matches()
@@ -142,6 +145,7 @@ def _plausible(batches):
 FULL = "id long, digest binary, shingles binary, filled long, mask array<long>"
 
 
+@released
 def _full_sets(batches):
     """Digest, sorted shingles, and the mask of bits that some shingle falls on, with their number."""
     for batch in batches:
@@ -177,6 +181,7 @@ def _may_link() -> Column:
     return (shared * under >= (F.col("size") + F.col("p_size") - shared) * over) & (differ <= HASHES - least_bits())
 
 
+@released
 def _linked(batches):
     """The pairs whose full sets reach the threshold."""
     over, under = THRESHOLD
