@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegralType, StructField, StructType
 
 from popscope.functions import blocks
 from popscope.functions.encoders import Encoder
@@ -25,6 +25,10 @@ OVER_FETCH = 10
 # that are broadcast. More queries are more blocks, more hits are left to Spark.
 BLOCK_NUMBERS = 1_000_000
 BROADCAST_HITS = 10_000
+# Buckets of 32,768 ids (4 KB each) of a filter's bitmap that may be broadcast; beyond it the
+# scores of all rows are joined with the allowed ids.
+MOST_BUCKETS = 16_384
+BUCKET_BITS = 8 * 4096
 GROW = 4  # factor by which an unfiltered search widens its top-k while ids dangle
 
 
@@ -123,6 +127,66 @@ def expanding_topk(index: DataFrame, vector: Sequence[float], n: int, allowed: D
         k *= grow
 
 
+def allowed_bits(allowed: DataFrame, most: int = MOST_BUCKETS) -> dict[int, np.ndarray] | None:
+    """Bitmaps of the ``id`` column by bucket (Spark's ``bitmap_construct_agg``); None if over ``most`` buckets.
+
+    Exact: a bit per id, no false hits. Built by a grouped aggregate with partial bitmaps before
+    the shuffle; only the bucket count decides whether it travels, not the number of rows.
+    """
+    ids = allowed.where(F.col("id").isNotNull())
+    buckets = ids.groupBy(F.bitmap_bucket_number("id").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits"))
+    buckets = buckets.checkpoint()
+    if buckets.limit(most + 1).count() > most:
+        return None
+    return {int(r["bucket"]): np.frombuffer(r["bits"], np.uint8) for r in buckets.toLocalIterator()}
+
+
+def in_bits(ids: np.ndarray, bits: dict[int, np.ndarray]) -> np.ndarray:
+    """Which ids have their bit set; the bucket and place are Spark's (Java division, truncating)."""
+    ids = ids.astype(np.int64)
+    positive = ids > 0
+    bucket = np.where(positive, (ids - 1) // BUCKET_BITS + 1, -((-ids) // BUCKET_BITS))
+    place = np.where(positive, (ids - 1) % BUCKET_BITS, (-ids) % BUCKET_BITS)
+    out = np.zeros(len(ids), bool)
+    for b in np.unique(bucket):
+        held = bits.get(int(b))
+        if held is None:
+            continue
+        at = bucket == b
+        out[at] = (held[place[at] >> 3] >> (place[at] & 7).astype(np.uint8)) & 1 == 1
+    return out
+
+
+def allowed_topk(index: DataFrame, vector: Sequence[float], k: int, bits: dict[int, np.ndarray], metric: str = "dot") -> DataFrame:
+    """Every task's own k best index rows among the ids of ``bits``; equal scores by id."""
+    query, cosine = np.asarray(_checked_vector(vector)), _is_cosine(metric)
+    if cosine:
+        query = blocks.unit(query[None, :])[0]
+    shipped = index.sparkSession.sparkContext.broadcast(bits)
+    schema = StructType([index.schema["id"], StructField("score", DoubleType())])
+    arrow = to_arrow_schema(schema)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_ids, held_scores = np.zeros(0, np.int64), np.zeros(0)
+        for ids, rows in blocks.slices(batches, len(query)):
+            values = blocks.dots(blocks.unit(rows) if cosine else rows, query)
+            numbers = ids.to_numpy(zero_copy_only=False)
+            keep = ~np.isnan(values) & ids.is_valid().to_numpy(zero_copy_only=False)
+            keep[keep] = in_bits(numbers[keep], shipped.value)
+            held_ids, held_scores = np.concatenate([held_ids, numbers[keep]]), np.concatenate([held_scores, values[keep]])
+            if len(held_ids) > 4 * k:
+                held_ids, held_scores = _first(held_ids, held_scores, k)
+        held_ids, held_scores = _first(held_ids, held_scores, k)
+        yield pa.RecordBatch.from_arrays([pa.array(held_ids).cast(arrow.field("id").type), pa.array(held_scores, pa.float64())], schema=arrow)
+
+    return index.select("id", "vec").mapInArrow(best, schema)
+
+
+def _first(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((ids, -scores))[:k]
+    return ids[order], scores[order]
+
+
 def hydrate(population: DataFrame, spec: PopulationSpec, hits: DataFrame, bounded: bool = False) -> DataFrame:
     """Population rows of the hits with the hits' other columns added.
 
@@ -174,10 +238,15 @@ def search(
     elif filters is None:
         hits, k = expanding_topk(index, vector, n, rows.select(F.col(spec.id).alias("id")), metric)
     else:
-        # Only ids and scores meet the filtered ids, never vectors.
         k, allowed = n, rows.select(F.col(spec.id).alias("id"))
-        scored = vector_scores(index, vector, metric).join(allowed, "id", "left_semi")
-        hits = scored.orderBy(F.desc("score"), "id").limit(n)
+        bits = allowed_bits(allowed) if isinstance(index.schema["id"].dataType, IntegralType) else None
+        if bits is not None:
+            # Each task tests its ids against the bits and sends on only its own n best.
+            hits = allowed_topk(index, vector, n, bits, metric).orderBy(F.desc("score"), "id").limit(n)
+        else:
+            # Only ids and scores meet the filtered ids, never vectors.
+            scored = vector_scores(index, vector, metric).join(allowed, "id", "left_semi")
+            hits = scored.orderBy(F.desc("score"), "id").limit(n)
     found = hydrate(rows, spec, hits, bounded=k <= BROADCAST_HITS)
     found = found.orderBy(F.desc("score"), spec.id).limit(n)
     return found.select(*population.columns, "score") if placed is None else read_picked(population, found.select(FILE, PLACE, "score"))
