@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import popscope as ps
 from popscope.functions.text import passage_text, row_summary, with_prefix
 from popscope.functions.vectors import checked_width, dot, l2_normalize
+from popscope.plans.clustered_search import build_clusters, pruned_topk
 from popscope.sources.workspace import shared_folder
 from registry.tables import (
     CONVERSATIONS,
@@ -371,6 +372,15 @@ def _label_centres(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def search_pruned(spark, sf):
+    """The 20 best vectors, reading only clusters whose bound reaches the 20th score."""
+    index = given_index(spark, sf)
+    clustered = build_clusters(index, _workspace(spark, "clusters"), clusters=16)
+    hits, _ = pruned_topk(spark, clustered, _first_vector(index), 20)
+    return hits.select("id", F.round("score", 6).alias("score"))
+
+
 @query
 def search_hydrated(spark, sf):
     """Rank, then hydrate: ids that are not in the population leave fewer rows."""

@@ -158,6 +158,8 @@ SQL = {
     "vector_dot": "SELECT vec_id AS id, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE * 0.125)), 6) AS score FROM embeddings",
     "vector_topk": f"""SELECT vec_id AS id, round({_dot('embedding', _QUERY)}, 6) AS score FROM embeddings
         ORDER BY {_dot('embedding', _QUERY)} DESC, vec_id LIMIT 20""",
+    "search_pruned": f"""SELECT vec_id AS id, round({_dot('embedding', _QUERY)}, 6) AS score FROM embeddings
+        ORDER BY {_dot('embedding', _QUERY)} DESC, vec_id LIMIT 20""",
     "vector_topk_cosine": f"""
         WITH q AS (SELECT embedding AS v FROM embeddings WHERE vec_id = 0),
         scored AS (
