@@ -1,6 +1,6 @@
 """Cross-tokenizer alignment: which tokens of two vocabularies cover the same bytes.
 
-A is a byte-level BPE run on ``" " + text``; B a sentencepiece BPE run on ``text`` (it adds the
+A is a byte-level BPE (the ranks of its vocabulary, run by tiktoken) on ``" " + text``; B a sentencepiece BPE run on ``text`` (it adds the
 space itself). Both must spell out exactly the bytes of ``" " + text``; a text where either
 does not (or null, or empty) has no tokens and all counts 0.
 
@@ -26,49 +26,42 @@ tokenized whole.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popscope.llm.common import small, stored
+from popscope.llm.common import released, small, stored
 
 TOKENIZERS = "/opt/tokenizers"
-A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
+# A's vocabulary as merge ranks (ids equal to those of A_FILE; tests compare both on the corpus).
+A_FILE, A_RANKS, B_FILE = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 PIECE = 4096  # ends merged by one piece of the merge path
 BYTES_PER_BATCH = 1 << 20  # text bytes tokenized, and their rows sent on, at once
 
 
-def _byte_decoder() -> dict[str, int]:
-    """The byte-level alphabet: printable bytes stand for themselves, the others for 256 + n."""
-    kept = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    chars, extra = {}, 0
-    for b in range(256):
-        if b in kept:
-            chars[chr(b)] = b
-        else:
-            chars[chr(256 + extra)] = b
-            extra += 1
-    return chars
-
-
 @lru_cache(maxsize=2)
 def tokenizers(folder: str):
-    """(encode A, A id -> bytes, encode B, B id -> bytes); None where an id has no bytes."""
+    """(encode A, A id -> bytes, encode B, B id -> bytes); None where an id has no bytes.
+
+    A runs as byte-level BPE over the vocabulary's ranks, without special tokens (their strings
+    are plain text); B is the sentencepiece model.
+    """
+    import public_tokenizers
     import sentencepiece
-    from tokenizers import Tokenizer
-
-    a = Tokenizer.from_file(f"{folder}/{A_FILE}")
-    a.encode_special_tokens = True
-    decoder = _byte_decoder()
-    a_bytes = [None] * a.get_vocab_size()
-    for token, i in a.get_vocab().items():
-        if all(c in decoder for c in token):
-            a_bytes[i] = bytes(decoder[c] for c in token)
+    import tiktoken
+
+    with open(f"{folder}/{A_RANKS}", "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    a = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    a_bytes = [None] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        a_bytes[rank] = token
     b = sentencepiece.SentencePieceProcessor(model_file=f"{folder}/{B_FILE}")
     b_bytes = [None] * b.get_piece_size()
     for i in range(b.get_piece_size()):
@@ -76,11 +69,10 @@ def tokenizers(folder: str):
         if b.is_byte(i):
             b_bytes[i] = bytes([int(piece[3:5], 16)])
         elif not (b.is_control(i) or b.is_unknown(i)):
-            b_bytes[i] = piece.replace("▁", " ").encode("utf-8")
+            b_bytes[i] = piece.replace("\u2581", " ").encode("utf-8")
 
     def encode_a(texts):
-        # One text at a time: only its ids are kept, not the whole encodings of a batch.
-        return [a.encode(" " + t, add_special_tokens=False).ids for t in texts]
+        return [a.encode_ordinary(" " + t) for t in texts]
 
     def encode_b(texts):
         return b.encode(list(texts), num_threads=1)
@@ -88,12 +80,17 @@ def tokenizers(folder: str):
     return encode_a, a_bytes, encode_b, b_bytes
 
 
-def ends(ids: list[int], table: list) -> np.ndarray | None:
+@lru_cache(maxsize=4)
+def _lengths(table: tuple) -> np.ndarray:
+    return np.asarray([len(x) if x is not None else 0 for x in table], np.int64)
+
+
+def ends(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray | None:
     """Byte offsets where the tokens end; None if a token has no bytes."""
-    lengths = [len(table[i]) if table[i] is not None else -1 for i in ids]
-    if min(lengths, default=0) <= 0:
+    if not len(ids) or ids.min() < 0 or ids.max() >= len(lengths):
         return None
-    return np.cumsum(np.asarray(lengths, np.int64))
+    at = lengths[ids]
+    return None if at.min() <= 0 else np.cumsum(at)
 
 
 def split(a: np.ndarray, b: np.ndarray, d: int) -> tuple[int, int]:
@@ -127,37 +124,55 @@ def links(a: np.ndarray, b: np.ndarray, piece: int = PIECE) -> tuple[np.ndarray,
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def groups(a_ids: list[int], a: np.ndarray, b_ids: list[int], b: np.ndarray) -> tuple[int, str]:
-    """Number of groups and their text ``a1,a2|b1;a3|b2,b3``."""
+def groups(a_ids: np.ndarray, a: np.ndarray, b_ids: np.ndarray, b: np.ndarray) -> tuple[int, str]:
+    """Number of groups and their text ``a1,a2|b1;a3|b2,b3``.
+
+    Every id is written with the mark that follows it: ``,`` inside a side, ``|`` after a
+    group's last A id, ``;`` after its last B id (nothing after the very last); the ids are then
+    laid out group by group, A before B.
+    """
     common = np.intersect1d(a, b, assume_unique=True)
-    cut_a = np.searchsorted(a, common) + 1
-    cut_b = np.searchsorted(b, common) + 1
-    parts, i, j = [], 0, 0
-    for ia, jb in zip(cut_a.tolist(), cut_b.tolist()):
-        parts.append(",".join(map(str, a_ids[i:ia])) + "|" + ",".join(map(str, b_ids[j:jb])))
-        i, j = ia, jb
-    return len(common), ";".join(parts)
+    last_a, last_b = np.isin(a, common), np.isin(b, common)
+    group_a = np.concatenate([[0], np.cumsum(last_a)[:-1]])
+    group_b = np.concatenate([[0], np.cumsum(last_b)[:-1]])
+    mark_a = np.where(last_a, "|", ",")
+    mark_b = np.where(last_b, ";", ",")
+    mark_b[-1] = ""
+    words = np.concatenate([np.char.add(a_ids.astype(str), mark_a), np.char.add(b_ids.astype(str), mark_b)])
+    order = np.lexsort((np.arange(len(words)), np.concatenate([np.zeros(len(a), int), np.ones(len(b), int)]), np.concatenate([group_a, group_b])))
+    return len(common), "".join(words[order].tolist())
 
 
 def aligned_texts(docs: DataFrame, folder: str = TOKENIZERS, piece: int = PIECE) -> DataFrame:
     """Per row: doc_id, n_a, n_b, n_groups, n_links, groups_sha256, link_a and link_b (ids per link)."""
+    schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, link_a array<int>, link_b array<int>"
 
-    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @released
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_a, a_bytes, encode_b, b_bytes = tokenizers(folder)
+        a_len, b_len = _lengths(tuple(a_bytes)), _lengths(tuple(b_bytes))
         for batch in batches:
-            texts, ids = batch["text"].tolist(), batch["doc_id"].to_numpy()
+            texts = batch.column(1).to_pylist()
             for start, stop in _spans(texts):
-                chunk = [t if isinstance(t, str) and t else "" for t in texts[start:stop]]
+                chunk = [t if t else "" for t in texts[start:stop]]
                 live = [k for k, t in enumerate(chunk) if t]
                 a_all = dict(zip(live, encode_a([chunk[k] for k in live])))
                 b_all = dict(zip(live, encode_b([chunk[k] for k in live])))
-                rows = [_aligned(text, a_all.get(k), b_all.get(k), a_bytes, b_bytes, piece) for k, text in enumerate(chunk)]
-                out = pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "link_a", "link_b"])
-                out.insert(0, "doc_id", ids[start:stop])
-                yield out
+                rows = [_aligned(text, a_all.get(k), b_all.get(k), a_bytes, b_bytes, a_len, b_len, piece) for k, text in enumerate(chunk)]
+                yield _batch(batch.column(0).slice(start, stop - start), rows)
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(align, schema)
 
-    schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, link_a array<int>, link_b array<int>"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInPandas(align, schema)
+
+def _batch(ids: pa.Array, rows: list) -> pa.RecordBatch:
+    """Rows of (counts..., digest, link A ids, link B ids) as Arrow columns; the links as flat lists."""
+    counts = np.asarray([r[:4] for r in rows], np.int64).reshape(-1, 4)
+    offsets = pa.array(np.concatenate([[0], np.cumsum([len(r[5]) for r in rows])]).astype(np.int32))
+    flat_a = np.concatenate([r[5] for r in rows] + [np.zeros(0, np.int32)]).astype(np.int32)
+    flat_b = np.concatenate([r[6] for r in rows] + [np.zeros(0, np.int32)]).astype(np.int32)
+    arrays = [ids, *(pa.array(counts[:, i]) for i in range(4)), pa.array([r[4] for r in rows], pa.string()),
+              pa.ListArray.from_arrays(offsets, pa.array(flat_a)), pa.ListArray.from_arrays(offsets, pa.array(flat_b))]
+    return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "link_a", "link_b"])
 
 
 def _spans(texts: list) -> Iterator[tuple[int, int]]:
@@ -171,21 +186,21 @@ def _spans(texts: list) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def _aligned(text, a_ids, b_ids, a_bytes, b_bytes, piece):
-    nothing = (0, 0, 0, 0, "", [], [])
+def _aligned(text, a_ids, b_ids, a_bytes, b_bytes, a_len, b_len, piece):
+    nothing = (0, 0, 0, 0, "", np.zeros(0, np.int32), np.zeros(0, np.int32))
     if not text:
         return nothing
     target = (" " + text).encode("utf-8")
-    a, b = ends(a_ids, a_bytes), ends(b_ids, b_bytes)
+    a_arr, b_arr = np.asarray(a_ids, np.int64), np.asarray(b_ids, np.int64)
+    a, b = ends(a_arr, a_len), ends(b_arr, b_len)
     if a is None or b is None or a[-1] != len(target) or b[-1] != len(target):
         return nothing
-    if b"".join(a_bytes[i] for i in a_ids) != target or b"".join(b_bytes[i] for i in b_ids) != target:
+    if b"".join(map(a_bytes.__getitem__, a_ids)) != target or b"".join(map(b_bytes.__getitem__, b_ids)) != target:
         return nothing
     at_a, at_b = links(a, b, piece)
-    a_arr, b_arr = np.asarray(a_ids, np.int64), np.asarray(b_ids, np.int64)
-    n_groups, text_of_groups = groups(list(a_ids), a, list(b_ids), b)
+    n_groups, text_of_groups = groups(a_arr, a, b_arr, b)
     digest = hashlib.sha256(text_of_groups.encode()).hexdigest()
-    return (len(a_ids), len(b_ids), n_groups, len(at_a), digest, a_arr[at_a].tolist(), b_arr[at_b].tolist())
+    return (len(a_ids), len(b_ids), n_groups, len(at_a), digest, a_arr[at_a], b_arr[at_b])
 
 
 def alignment(docs: DataFrame, folder: str = TOKENIZERS, piece: int = PIECE) -> DataFrame:

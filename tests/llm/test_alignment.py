@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 
-from popscope.llm.alignment import TOKENIZERS, alignment, links, split, tokenizers
+from popscope.llm.alignment import A_FILE, TOKENIZERS, alignment, links, split, tokenizers
 
 TEXTS = [
     (1, "Hello  world<|endoftext|> über  ok"),
@@ -28,8 +28,18 @@ def spans(ids, table):
     return out
 
 
+def json_a(texts):
+    """A by the tokenizer file itself, special strings as plain text."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(f"{TOKENIZERS}/{A_FILE}")
+    t.encode_special_tokens = True
+    return [e.ids for e in t.encode_batch([" " + x for x in texts], add_special_tokens=False)]
+
+
 def brute(rows):
-    encode_a, a_bytes, encode_b, b_bytes = tokenizers(TOKENIZERS)
+    _, a_bytes, encode_b, b_bytes = tokenizers(TOKENIZERS)
+    encode_a = json_a
     per, counts = [], Counter()
     for doc, text in rows:
         if not text:
@@ -80,3 +90,12 @@ def test_merge_path_pieces_agree():
 def test_empty_and_clashing(empty, clashing):
     assert alignment(empty).count() == 0
     assert alignment(clashing).count() == clashing.count()
+
+
+def test_ranks_give_the_ids_of_the_tokenizer_file():
+    import duckdb
+    from conftest import TESTDATA
+
+    texts = [r[0] for r in duckdb.sql(f"SELECT text FROM '{TESTDATA}/documents.parquet' WHERE text IS NOT NULL").fetchall()]
+    texts += [t for _, t in TEXTS if t]
+    assert tokenizers(TOKENIZERS)[0](texts) == json_a(texts)
