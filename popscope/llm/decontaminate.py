@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -254,12 +255,15 @@ def contaminated(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: st
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, distance int, start_word long, item_words int"
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("body"))
     out = rows.sparkSession.createDataFrame([], schema)
+    item_type = to_arrow_type(items.schema[item_id].dataType)
     for block in item_blocks(items, item_id):
-        out = out.unionByName(rows.mapInArrow(_reported(block), schema))
+        out = out.unionByName(rows.mapInArrow(_reported(block, item_type), schema))
     return out
 
 
-def _reported(items: Items):
+def _reported(items: Items, item_type: pa.DataType = pa.int64()):
+    """Found (row, item) pairs; item ids are built with the item column's own type."""
+
     def run(batches):
         for batch in batches:
             rows = [
@@ -269,7 +273,7 @@ def _reported(items: Items):
             ]
             columns = list(zip(*rows)) or [()] * 5
             ids = batch.column(0).take(pa.array(columns[0], pa.int64()))
-            rest = [pa.array(columns[1]) if rows else pa.array([], pa.int64()), *(pa.array(c, t) for c, t in zip(columns[2:], (pa.int32(), pa.int64(), pa.int32())))]
+            rest = [pa.array(columns[1], item_type), *(pa.array(c, t) for c, t in zip(columns[2:], (pa.int32(), pa.int64(), pa.int32())))]
             yield pa.RecordBatch.from_arrays([ids, *rest], names=["doc_id", "item_id", "distance", "start_word", "item_words"])
 
     return run

@@ -111,3 +111,14 @@ def test_all_at_the_largest_distance(n, spread):
         texts.append(" ".join(["before"] * 3 + body + ["after"] * 2))
     found = Items(list(range(30)), [" ".join(item) for item in items]).found(pa.array(texts))
     assert found == {i: {i: (n // 4, 3)} for i in range(30)}
+
+
+def test_item_ids_of_other_types(spark, make):
+    from popscope.llm.decontaminate import contaminated
+
+    passage = "the quick brown fox jumps over the lazy dog near the river bank today"
+    docs = make("documents", [(1, f"intro words here {passage} and more", "en", "s", 1), (2, "nothing at all", "en", "s", 1)])
+    for kind, key in (("int", 7), ("string", "q7"), ("long", 2**40)):
+        items = spark.createDataFrame([(key, passage)], f"item_id {kind}, text string")
+        found = contaminated(docs, items).collect()
+        assert [(r.doc_id, r.item_id) for r in found] == [(1, key)], kind
