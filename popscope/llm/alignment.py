@@ -124,23 +124,30 @@ def links(a: np.ndarray, b: np.ndarray, piece: int = PIECE) -> tuple[np.ndarray,
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
+@lru_cache(maxsize=4)
+def _marked(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every id's text followed by ``,``, ``|`` or ``;``."""
+    return tuple(np.array([f"{i}{mark}" for i in range(size)], dtype=object) for mark in ",|;")
+
+
 def groups(a_ids: np.ndarray, a: np.ndarray, b_ids: np.ndarray, b: np.ndarray) -> tuple[int, str]:
     """Number of groups and their text ``a1,a2|b1;a3|b2,b3``.
 
     Every id is written with the mark that follows it: ``,`` inside a side, ``|`` after a
-    group's last A id, ``;`` after its last B id (nothing after the very last); the ids are then
-    laid out group by group, A before B.
+    group's last A id, ``;`` after its last B id (none after the very last). An A token's place
+    is its index plus the B tokens of all earlier groups; a B token's, its index plus the A
+    tokens up to its own group's end.
     """
     common = np.intersect1d(a, b, assume_unique=True)
     last_a, last_b = np.isin(a, common), np.isin(b, common)
-    group_a = np.concatenate([[0], np.cumsum(last_a)[:-1]])
-    group_b = np.concatenate([[0], np.cumsum(last_b)[:-1]])
-    mark_a = np.where(last_a, "|", ",")
-    mark_b = np.where(last_b, ";", ",")
-    mark_b[-1] = ""
-    words = np.concatenate([np.char.add(a_ids.astype(str), mark_a), np.char.add(b_ids.astype(str), mark_b)])
-    order = np.lexsort((np.arange(len(words)), np.concatenate([np.zeros(len(a), int), np.ones(len(b), int)]), np.concatenate([group_a, group_b])))
-    return len(common), "".join(words[order].tolist())
+    cut_a, cut_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
+    group_a = np.searchsorted(cut_a, np.arange(len(a)), "right")
+    group_b = np.searchsorted(cut_b, np.arange(len(b)), "right")
+    comma, bar, semi = _marked(1 << max(16, int(max(a_ids.max(), b_ids.max())).bit_length()))  # one table for all texts
+    out = np.empty(len(a) + len(b), dtype=object)
+    out[np.arange(len(a)) + np.concatenate([[0], cut_b])[group_a]] = np.where(last_a, bar[a_ids], comma[a_ids])
+    out[np.arange(len(b)) + cut_a[group_b]] = np.where(last_b, semi[b_ids], comma[b_ids])
+    return len(common), "".join(out.tolist())[:-1]
 
 
 def aligned_texts(docs: DataFrame, folder: str = TOKENIZERS, piece: int = PIECE) -> DataFrame:
