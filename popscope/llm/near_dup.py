@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from popscope.llm.common import released, small, stored
+from popscope.llm.common import positions, released, small, stored
 from popscope.llm.components import components, joined_labels, relabelled
 from popscope.llm.shingles import mixed, text_blocks, text_shingles, word_hashes
 
@@ -88,7 +88,7 @@ def least_bits(threshold: float = THRESHOLD[0] / THRESHOLD[1], miss: float = MIS
     return HASHES
 
 
-SETS = "doc_id {id}, n_shingles long, digest binary, signature binary, bits0 long, bits1 long"
+SETS = "doc_id {id}, n_shingles long, digest binary, signature binary, bits0 long, bits1 long, text_hash long"
 
 
 @released
@@ -107,8 +107,8 @@ def _sets(batches):
                 bits.append(np.packbits((values & 1).astype(bool)).view(np.int64))
         bits = np.array(bits, np.int64).reshape(-1, 2)
         arrays = [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())]
-        names = ["doc_id", "n_shingles", "digest", "signature", "bits0", "bits1"]
-        yield pa.RecordBatch.from_arrays([*arrays, pa.array(bits[:, 0]), pa.array(bits[:, 1])], names=names)
+        names = ["doc_id", "n_shingles", "digest", "signature", "bits0", "bits1", "text_hash"]
+        yield pa.RecordBatch.from_arrays([*arrays, pa.array(bits[:, 0]), pa.array(bits[:, 1]), batch.column(2)], names=names)
 
 
 @released
@@ -205,10 +205,17 @@ def _with_ends(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
-    texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("body"))
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", text_hash: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept (and ``text_hash`` if asked).
+
+    Classes of equal sets are linked under an id of one of their rows. Where one doc_id holds
+    several different texts, each of its texts gets an id of its own above all ids for the
+    linking, so the texts are judged apart; a component is then named by the smallest doc_id
+    of all its rows.
+    """
+    texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("body"), F.xxhash64(F.col(text)).alias("text_hash"))
     sets = stored(texts.mapInArrow(_sets, SETS.format(id="long")), "sets")
+    sets, renamed = _own_ids(sets)
     classes = sets.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     classes = stored(classes.where("rep IS NOT NULL"), "classes")
     standing = sets.where("n_shingles > 0").join(classes, (F.col("doc_id") == F.col("rep")) & (sets["digest"] == classes["digest"]), "left_semi")
@@ -222,8 +229,13 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     weights = stored(members.groupBy("id").agg(F.sum("n").alias("weight")), "weights")
     middle = F.max_by("id", F.struct("weight", -F.col("id"))).alias("lead")
     leads = members.join(small(weights), "id").groupBy("bucket").agg(middle)
-    bodies = texts.join(small(weights), F.col("doc_id") == F.col("id"), "left_semi")
-    full = bodies.mapInArrow(_full_sets, FULL).dropDuplicates(["id", "digest"]).drop("digest")
+    wanted = weights.select("id") if renamed is None else _real_ids(weights.select("id"), renamed)
+    bodies = texts.join(small(wanted), F.col("doc_id") == F.col("id"), "left_semi")
+    full = bodies.mapInArrow(_full_sets, FULL).dropDuplicates(["id", "digest"])
+    if renamed is not None:
+        inner = renamed.select(F.col("doc_id").alias("id"), "digest", "inner")
+        full = full.join(inner, ["id", "digest"], "left").withColumn("id", F.coalesce("inner", "id")).drop("inner")
+    full = full.drop("digest")
     full = stored(full, "full")
 
     def verified(pairs):
@@ -262,10 +274,43 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         done = used if done is None else done.unionByName(used)
 
     named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    rows = sets.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest"))
+    rows = sets.select(F.col("real").alias("doc_id"), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest"), "text_hash")
     found = rows.join(named, "digest", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    # The smallest doc_id of a component's rows names it (partial minima before the shuffle).
+    lowest = found.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("lowest"))
+    found = found.join(lowest, "component", "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("doc_id"))
+    extra = ["text_hash"] if text_hash else []
+    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), *extra)
+
+
+def _own_ids(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``sets`` with ``real`` (the given doc_id) and a ``doc_id`` that names one text only.
+
+    A doc_id that holds several different sets gives each of them a new id above all ids,
+    numbered by a range shuffle (``positions``); other ids stay. Also gives the renamed
+    (doc_id, digest, inner) rows, or None if no id was renamed.
+    """
+    sets = sets.withColumn("real", F.col("doc_id"))
+    shared = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.countDistinct("digest").alias("texts")).where("texts > 1")
+    if shared.isEmpty():
+        return sets, None
+    low, top = sets.agg(F.min("doc_id"), F.max("doc_id")).first()
+    pairs = sets.join(shared.select("doc_id"), "doc_id", "left_semi").where("n_shingles > 0").select("doc_id", "digest").distinct()
+    numbered = positions(pairs, [F.col("doc_id"), F.col("digest")], "renamed")
+    # Above all ids, or below them where ids reach 2^62 (rows without an id are numbered there).
+    inner = F.lit(top + 1) + F.col("position") if top < 1 << 62 else F.lit(low - 1) - F.col("position")
+    if top >= 1 << 62 and low <= -(1 << 62):
+        raise ValueError("doc_id values span more than 2^63; no room for ids of repeated ids' texts")
+    renamed = stored(numbered.select("doc_id", "digest", inner.alias("inner")), "renamed")
+    moved = sets.join(renamed, ["doc_id", "digest"], "left").withColumn("doc_id", F.coalesce("inner", "doc_id")).drop("inner")
+    return stored(moved, "sets"), renamed
+
+
+def _real_ids(ids: DataFrame, renamed: DataFrame) -> DataFrame:
+    """(id) with renamed ids given back as the doc_id they came from."""
+    back = renamed.select(F.col("inner").alias("id"), F.col("doc_id").alias("real"))
+    return ids.join(back, "id", "left").select(F.coalesce("real", "id").alias("id")).distinct()
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
@@ -278,10 +323,12 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     id, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
     by_text = F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
     rows = docs.toDF(*names).withColumn("doc_id", F.coalesce(F.col(id).cast("long"), by_text))
-    judged = stored(near_duplicates(rows, text=text), "judged")
-    dropped = stored(judged.where("NOT kept").select("doc_id").distinct(), "dropped")
+    judged = stored(near_duplicates(rows, text=text, text_hash=True), "judged")
+    # A row goes by its id and its text: another text under the same id is judged on its own.
+    dropped = stored(judged.where("NOT kept").select("doc_id", "text_hash").distinct(), "dropped")
     again = stored(judged.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
-    left = rows.join(small(dropped), "doc_id", "left_anti")
+    rows = rows.withColumn("text_hash", F.xxhash64(text))
+    left = rows.join(small(dropped), ["doc_id", "text_hash"], "left_anti")
     single = left.join(small(again), "doc_id", "left_anti")
     repeated = left.join(small(again), "doc_id", "left_semi").dropDuplicates(["doc_id", text])
     return single.unionByName(repeated).select(names).toDF(*docs.columns)

@@ -94,3 +94,16 @@ def test_components(spark):
     found = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**{i: 100 for i in range(100, 161)}, 1: 1, 2: 1, 500: 1, 600: 600, 650: 600, 700: 600}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_one_id_on_two_texts(make):
+    from popscope.llm.near_dup import near_duplicates, without_near_duplicates
+
+    b = " ".join(f"b{i}" for i in range(60))
+    a = " ".join(f"a{i}" for i in range(60))
+    rows = [(3, b, "en", "s", 1), (5, a, "en", "s", 1), (5, b + " extra", "en", "s", 1), (9, "short text", "en", "s", 1)]
+    docs = make("documents", rows)
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs).collect())
+    assert got == [(3, 3, True), (5, 3, False), (5, 5, True), (9, 9, True)]
+    left = sorted((r.doc_id, r.text) for r in without_near_duplicates(docs).collect())
+    assert left == [(3, b), (5, a), (9, "short text")]
