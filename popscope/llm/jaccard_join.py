@@ -52,9 +52,16 @@ LOOSE = LINK - (100 - HIGH)  # the pivot's threshold
 BAND = 100 / LOOSE  # ratio of sizes within one band
 
 
-def shingle_set(text: Column, words: int = WORDS) -> Column:
-    """Distinct hashes of a text's ``words``-word shingles; the whole sequence if shorter."""
-    tokens = F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), 0)
+def text_words(text: Column) -> Column:
+    """The words of a text, A-Z lower-cased; none for null."""
+    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), 0)
+
+
+def shingle_set(tokens: Column, words: int = WORDS) -> Column:
+    """Distinct hashes of the ``words``-word shingles of a column of words; the whole sequence if shorter.
+
+    ``tokens`` should be a column, not an expression: the lambda below reads it once per shingle.
+    """
     n = F.size(tokens)
     grams = F.transform(F.sequence(F.lit(0), n - words), lambda i: F.xxhash64(F.array_join(F.slice(tokens, i + 1, words), " ")))
     whole = F.array(F.xxhash64(F.array_join(tokens, " ")))
@@ -72,7 +79,8 @@ def _band(n: Column) -> Column:
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     rows = stored(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), shingle_set(F.col("text")).alias("set"))
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_words(F.col("text")).alias("words"))
+        .select("doc_id", shingle_set(F.col("words")).alias("set"))
         .withColumn("n", F.size("set").cast("long"))
         .withColumn("digest", F.when(F.col("n") > 0, F.sha2(F.array_join(F.array_sort("set"), ","), 256))),
         "jaccard_rows",
