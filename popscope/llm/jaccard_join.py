@@ -6,7 +6,8 @@ words has the empty set and no links. Two sets link when ``100 |r & s| >= 85 |r
 
 The method, set-relation skipping, in Spark terms:
 
-* Equal sets are one set (keyed by a digest of the sorted hashes); their documents are linked.
+* Equal sets are one set (found by two 64-bit hashes of the sorted set, then numbered: the
+  ``digest`` column); their documents are linked.
 * Tokens are ordered rare first (document frequency over distinct sets, then hash). A set's
   prefix at threshold t holds its first ``n - ceil(t n) + 1`` tokens; two sets above t share a
   prefix token (prefix filter).
@@ -78,24 +79,24 @@ def _band(n: Column) -> Column:
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    rows = stored(
+    shingled = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_words(F.col("text")).alias("words"))
         .select("doc_id", shingle_set(F.col("words")).alias("set"))
         .withColumn("n", F.size("set").cast("long"))
-        .withColumn("digest", F.when(F.col("n") > 0, F.sha2(F.array_join(F.array_sort("set"), ","), 256))),
-        "jaccard_rows",
     )
-    sets = stored(rows.where("n > 0").groupBy("digest").agg(F.first("set").alias("set"), F.first("n").alias("n")), "jaccard_sets")
+    # Equal sets are found by two 64-bit hashes of the sorted set, then numbered (``digest``).
+    ordered_set = F.array_sort("set")
+    keys = [F.xxhash64(ordered_set).alias("k1"), F.xxhash64(F.lit(1), ordered_set).alias("k2")]
+    rows = stored(shingled.select("doc_id", "n", *keys), "jaccard_rows")  # narrow: the shingles are taken again below
+    distinct = shingled.where("n > 0").select("set", "n", *keys).groupBy("k1", "k2").agg(F.first("set").alias("set"), F.first("n").alias("n"))
+    sets = stored(distinct.withColumn("digest", F.monotonically_increasing_id()), "jaccard_sets")
     tokens = sets.select("digest", "n", F.explode("set").alias("token"))
     df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     place = Window.partitionBy("digest").orderBy("df", "token")
-    ordered = tokens.join(df, "token").where(F.col("df") > 1)  # a token of one set finds no partner
-    # Positions count all tokens, including those of one set: they sort first.
-    ones = tokens.join(df.where("df = 1"), "token").groupBy("digest").agg(F.count(F.lit(1)).alias("ones"))
+    shared = tokens.join(df.where("df > 1"), "token")  # a token of one set finds no partner
+    # Positions count all tokens: those of one set sort first, n minus the shared ones.
     index = stored(
-        ordered.withColumn("pos", F.row_number().over(place) - 1)
-        .join(ones, "digest", "left")
-        .withColumn("pos", F.col("pos") + F.coalesce("ones", F.lit(0)))
+        shared.withColumn("pos", F.row_number().over(place) - 1 + F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("digest")))
         .where(F.col("pos") < _prefix(F.col("n"), LOOSE))
         .select("token", "digest", "n", "pos", "df"),
         "jaccard_index",
@@ -119,7 +120,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     )
     edges = all_links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     labels = components(edges)  # (id = digest, component = a digest)
-    keyed = rows.select("doc_id", "n", "digest").join(labels.withColumnRenamed("id", "digest"), "digest", "left")
+    numbered = rows.join(sets.select("k1", "k2", "digest"), ["k1", "k2"], "left")
+    keyed = numbered.select("doc_id", "n", "digest").join(labels.withColumnRenamed("id", "digest"), "digest", "left")
     keyed = keyed.withColumn("component", F.coalesce("component", "digest"))
     named = keyed.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     out = keyed.join(named, "component", "left")
