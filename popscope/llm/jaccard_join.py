@@ -79,16 +79,16 @@ def _band(n: Column) -> Column:
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    shingled = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_words(F.col("text")).alias("words"))
-        .select("doc_id", shingle_set(F.col("words")).alias("set"))
-        .withColumn("n", F.size("set").cast("long"))
-    )
+    words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_words(F.col("text")).alias("words"))
+    shingled = words.select("doc_id", shingle_set(F.col("words")).alias("set")).withColumn("n", F.size("set").cast("long"))
     # Equal sets are found by two 64-bit hashes of the sorted set, then numbered (``digest``).
     ordered_set = F.array_sort("set")
     keys = [F.xxhash64(ordered_set).alias("k1"), F.xxhash64(F.lit(1), ordered_set).alias("k2")]
     rows = stored(shingled.select("doc_id", "n", *keys), "jaccard_rows")  # narrow: the shingles are taken again below
-    distinct = shingled.where("n > 0").select("set", "n", *keys).groupBy("k1", "k2").agg(F.first("set").alias("set"), F.first("n").alias("n"))
+    # A set is empty exactly when its text has no words. A filter on the set itself would be pushed
+    # below the words' projection, and the lambda would split the text again for every shingle.
+    nonempty = words.where(F.size("words") > 0).select(shingle_set(F.col("words")).alias("set")).withColumn("n", F.size("set").cast("long"))
+    distinct = nonempty.select("set", "n", *keys).groupBy("k1", "k2").agg(F.first("set").alias("set"), F.first("n").alias("n"))
     sets = stored(distinct.withColumn("digest", F.monotonically_increasing_id()), "jaccard_sets")
     tokens = sets.select("digest", "n", F.explode("set").alias("token"))
     df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
