@@ -90,10 +90,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     nonempty = words.where(F.size("words") > 0).select(shingle_set(F.col("words")).alias("set")).withColumn("n", F.size("set").cast("long"))
     distinct = nonempty.select("set", "n", *keys).groupBy("k1", "k2").agg(F.first("set").alias("set"), F.first("n").alias("n"))
     sets = stored(distinct.withColumn("digest", F.monotonically_increasing_id()), "jaccard_sets")
-    tokens = sets.select("digest", "n", F.explode("set").alias("token"))
+    # Only (set, token) travel by token; a set's size joins the fewer shared tokens by set.
+    tokens = sets.select("digest", F.explode("set").alias("token"))
     df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     place = Window.partitionBy("digest").orderBy("df", "token")
-    shared = tokens.join(df.where("df > 1"), "token")  # a token of one set finds no partner
+    shared = tokens.join(df.where("df > 1"), "token").join(sets.select("digest", "n"), "digest")  # a token of one set finds no partner
     # Positions count all tokens: those of one set sort first, n minus the shared ones.
     index = stored(
         shared.withColumn("pos", F.row_number().over(place) - 1 + F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("digest")))
