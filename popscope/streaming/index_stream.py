@@ -25,7 +25,7 @@ def start_index_stream(
     files_per_trigger: int = FILES_PER_TRIGGER,
     file_filter: str = "*.parquet",
 ) -> StreamingQuery:
-    """Encode every file that is not done yet, then stop.
+    """Encode every file of ``source`` (a folder, or a pattern of folders and files) that is not done yet, then stop.
 
     Each trigger takes some files and commits their vectors; the checkpoint beside
     them lets a stopped stream go on after the last commit. Files are told apart by

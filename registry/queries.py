@@ -522,8 +522,9 @@ def index_build_force(spark, sf):
 @query
 def index_build_stream(spark, sf):
     root, schema = _workspace(spark, "stream"), table(spark, sf, "documents").schema
+    # A pattern, as a stream takes no single file by its path; the table may also be a folder of files.
     stream = ps.start_index_stream(
-        spark, sf, schema, DOCUMENTS, ENCODER, root, file_filter="documents.parquet"
+        spark, f"{sf}/documents.parque[t]", schema, DOCUMENTS, ENCODER, root, file_filter="*"
     )
     stream.awaitTermination()
     ps.publish_stream(spark, DOCUMENTS, schema, root)

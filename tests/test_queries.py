@@ -29,3 +29,11 @@ def test_sql_belongs_to_queries():
 def test_entry(spark):
     rows = entry(spark)
     assert rows.dtypes == [("value", "string"), ("count", "bigint")] and rows.count() > 0
+
+
+def test_stream_over_a_folder_of_files(spark, tmp_path):
+    rows = spark.range(20).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang", "'s' AS source", "6L AS n_chars")
+    rows.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    rows.withColumn("doc_id", rows.doc_id + 100).write.parquet(str(tmp_path / "other.parquet"))
+    found = QUERIES["index_build_stream"](spark, str(tmp_path))
+    assert sorted(r["id"] for r in found.collect()) == list(range(20))
