@@ -61,7 +61,7 @@ HIGH = 95  # percent Jaccard to its pivot above which a set borrows the pivot's
 LOOSE = LINK - (100 - HIGH)  # the pivot's threshold
 BAND = 100 / LOOSE  # ratio of sizes within one band
 BUCKETS = 18  # bits of a token's hash that tell its bucket when tokens are counted
-HEAVY = 4  # times the mean count from which a bucket's tokens come last
+HEAVY = 6  # standard deviations above the mean count (as if dealt evenly) from which a bucket's tokens come last
 
 
 def _text_sets(column: pa.Array):
@@ -193,11 +193,11 @@ def _band(n: Column) -> Column:
 
 
 def _heavy_buckets(texts: DataFrame) -> np.ndarray:
-    """The counts of the buckets above ``HEAVY`` times the mean (a bounded number of them), 0 for the others."""
+    """The counts of the buckets that are heavy, 0 for the others; one number per bucket, however large the corpus."""
     counts = stored(texts.select("text").mapInArrow(_bucket_counts, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")), "jaccard_buckets")
     mean = (counts.agg(F.sum("n")).first()[0] or 0) / (1 << BUCKETS)
     heavy = np.zeros(1 << BUCKETS, np.int64)
-    for bucket, n in counts.where(F.col("n") > HEAVY * mean + 16).collect():
+    for bucket, n in counts.where(F.col("n") > mean + HEAVY * math.sqrt(mean) + 16).collect():
         heavy[bucket] = n
     return heavy
 

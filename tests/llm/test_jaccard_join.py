@@ -1,8 +1,11 @@
 """Jaccard join of 4-word shingle sets against all pairs and plain components."""
 
 import random
+from pathlib import Path
 
-from popscope.llm.jaccard_join import jaccard_components
+import numpy as np
+
+from popscope.llm.jaccard_join import jaccard_components, least_difference, parity_mask
 from tests.llm.conftest import ODD_DOCUMENTS, words
 
 
@@ -81,3 +84,23 @@ def test_odd_rows(make):
 def test_empty_and_clashing(empty, clashing):
     assert jaccard_components(empty).count() == 0
     assert jaccard_components(clashing).count() == clashing.count()
+
+
+def test_sets_are_not_stored(spark, make):
+    """Unlinked texts leave less on disk than their shingles' hashes take; only near pairs need full sets."""
+    rng = random.Random(1)
+    rows = [(i, " ".join(str(rng.random()) for _ in range(2000))) for i in range(30)]
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.rglob("*.parquet"))
+    assert found(make, rows) == sorted(((i, 1997, i) for i in range(30)), key=repr)
+    left = sum(p.stat().st_size for p in set(folder.rglob("*.parquet")) - before if p.is_file())
+    assert left < 8 * 1997 * 30
+
+
+def test_mask_bound():
+    rng = np.random.default_rng(3)
+    for n, m, both in ((1, 1, 0), (1, 1, 1), (40, 33, 30), (500, 900, 450), (2000, 1800, 1790)):
+        x = rng.integers(0, 1 << 63, n + m - both, dtype=np.uint64)
+        masks = [np.unpackbits(np.frombuffer(parity_mask(np.sort(s)), np.uint8)) for s in (x[:n], x[n - both :])]
+        difference = n + m - 2 * both
+        assert least_difference(*masks) <= difference and (least_difference(*masks) > 0) == (difference > 0)
